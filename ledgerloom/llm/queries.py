@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts, token_files
+from . import bpe, decontam, media, token_counts, token_files
 from .common import table
 
 
@@ -21,6 +21,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digests(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
     return out.withColumnRenamed("id", "doc_id")
@@ -30,6 +38,25 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op4_token_counts, op6_token_files)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_token_counts, op6_token_files)}
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+p as (
+  select distinct item_id, least(10, len(w)) as n, array_to_string(w[k : k + least(10, len(w)) - 1], ' ') as win
+  from (select item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as k from b where len(w) > 0)),
+lens as (select distinct n from p),
+dw as (
+  select doc_id, k, n, array_to_string(w[k : k + n - 1], ' ') as win
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k from d, lens where len(w) >= n)),
+h as (select doc_id, k, dw.n, item_id from dw join p on dw.n = p.n and dw.win = p.win),
+hw as (select doc_id, count(distinct i) as n_hit from (select doc_id, unnest(range(k, k + n)) as i from h) group by doc_id),
+hi as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from h) group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hw using (doc_id) left join hi using (doc_id)""",
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, media, token_counts, token_files
+from . import bpe, decontam, media, neardup, token_counts, token_files
 from .common import table
 
 
@@ -34,11 +34,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_token_counts, op6_token_files)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_token_counts, op5_near_duplicates, op6_token_files)}
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": r"""
@@ -59,4 +63,19 @@ hi as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) a
 select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
   sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hw using (doc_id) left join hi using (doc_id)""",
+    "op5_near_duplicates": r"""
+with recursive d as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[k : k + least(4, len(w)) - 1], ' ') as sh
+  from (select doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) as k from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+links as (
+  select a, b from (select x.doc_id as a, y.doc_id as b, count(*) as i from s x join s y on x.sh = y.sh and x.doc_id < y.doc_id group by 1, 2)
+  join n na on na.doc_id = a join n nb on nb.doc_id = b
+  where 100 * i >= 80 * (na.n + nb.n - i)),
+edges as (select a, b from links union all select b, a from links),
+reach(doc_id, r) as (select a, a from edges union select e.b, reach.r from reach join edges e on e.a = reach.doc_id)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, coalesce(c.c, d.doc_id) as component_id, d.doc_id = coalesce(c.c, d.doc_id) as kept
+from d left join n using (doc_id) left join (select doc_id, min(r) as c from reach group by doc_id) c using (doc_id)""",
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, media, neardup, token_counts, token_files, toxicity
+from . import bpe, decontam, media, neardup, pii, token_counts, token_files, toxicity
 from .common import table
 
 
@@ -42,11 +42,15 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_token_counts, op5_near_duplicates, op6_token_files, op8_toxicity)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_token_counts, op5_near_duplicates, op6_token_files, op7_pii, op8_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": r"""

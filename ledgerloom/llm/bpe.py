@@ -174,6 +174,23 @@ def _arrow_type(df: DataFrame, col: str) -> pa.DataType:
     return to_arrow_type(df.schema[col].dataType)
 
 
+def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id_col, ids array<int>, n_tokens, decoded, keep...) of every whole text."""
+    arrow = pa.schema([(id_col, _arrow_type(docs, id_col)), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("decoded", pa.string()), *[(c, _arrow_type(docs, c)) for c in keep]])
+
+    def run(batches):
+        e = encoder(tokenizer)
+        for b in batches:
+            for k in range(0, b.num_rows, 2_000):
+                part = b.slice(k, 2_000)
+                ids = list(e.encode_all([t or "" for t in part.column(1).to_pylist()]))
+                made = [pa.array(ids, arrow.field("ids").type), pa.array([len(x) for x in ids], pa.int64()), pa.array([e.decode(x) for x in ids], pa.string())]
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(arrow.field(0).type), *made, *[x.cast(f.type) for x, f in zip(part.columns[2:], list(arrow)[4:], strict=True)]], schema=arrow)
+
+    kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(id_col, text_col, *keep).mapInArrow(run, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, ids array<int>, n_tokens long, decoded string{kept}")
+
+
 def digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) per row, without carrying the ids through Spark."""
 

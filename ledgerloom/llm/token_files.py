@@ -31,11 +31,17 @@ NO_ID = -(2**63)
 MANIFEST = "part int, name string, docs long, tokens long, width int"
 
 
+_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+#: ASCII signs that end pieces; not the apostrophe, which may begin a word.
+_SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
+
+
 class LibraryEncoder:
     """The tokenizers library over space-delimited pieces, whose ids are kept.
 
-    For vocabularies that drop white space and whose words never reach over it: a text is cut at spaces and line feeds, and
-    only pieces not met before go to the library.
+    For vocabularies that lower-case, drop white space and whose words never reach over it nor from a letter or digit to a
+    sign: a text is cut at ASCII white space, a piece met for the first time is parted from the signs at its end, and only
+    what wasn't met before goes to the library. A-Z are lower-cased at once unless a special string might be made by it.
     """
 
     def __init__(self, path: str):
@@ -46,18 +52,30 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 2**16 else 4
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[bytes, bytes] = {}
+
+    def learn(self, new: set[bytes]) -> None:
+        parted = {}
+        for p in new:
+            word = p.rstrip(_SIGNS)
+            if word and len(word) < len(p) and b"<|" not in p and word[-1:].isalnum():
+                parted[p] = (word, p[len(word) :])
+        ask = list({x for p in new for x in parted.get(p, (p,)) if x not in self.known})
+        for p, e in zip(ask, self.library.encode_batch_fast([p.decode() for p in ask], add_special_tokens=False), strict=True):
+            self.known[p] = np.array(e.ids, f"<u{self.width}").tobytes()
+        for p, (word, signs) in parted.items():
+            self.known[p] = self.known[word] + self.known[signs]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        cuts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*cuts).difference(self.known) if cuts else set()
+        cuts = []
+        for t in texts:
+            raw = t.encode()
+            cuts.append((raw if b"<|" in raw else raw.translate(_LOWER)).split())
+        new = set().union(*cuts).difference(self.known)
         if new and len(self.known) + len(new) > KEPT_PIECES:
-            self.known = {"": b""}
-            new = set().union(*cuts) - {""}
-        if new:
-            new = list(new)
-            for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, f"<u{self.width}").tobytes()
+            self.known.clear()
+            new = set().union(*cuts)
+        self.learn(new)
         return [b"".join(map(self.known.__getitem__, ps)) for ps in cuts]
 
 
@@ -91,12 +109,12 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col:
                 out = [store.open_output_stream(f"{at}/{name}.{x}") for x in ("ids", "off", "doc")]
                 out[1].write(np.zeros(1, "<i8").tobytes())
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i in range(0, len(texts), 500):
-                coded = [x + end for x in e.encode_all([t or "" for t in texts[i : i + 500]])]
+            for i in range(0, len(texts), 2_000):
+                coded = [x + end for x in e.encode_all([t or "" for t in texts[i : i + 2_000]])]
                 ends = tokens + np.cumsum([len(x) // e.width for x in coded])
                 out[0].write(b"".join(coded))
                 out[1].write(ends.astype("<i8").tobytes())
-                out[2].write(np.array([NO_ID if x is None else x for x in ids[i : i + 500]], "<i8").tobytes())
+                out[2].write(np.array([NO_ID if x is None else x for x in ids[i : i + 2_000]], "<i8").tobytes())
                 docs_seen, tokens = docs_seen + len(coded), int(ends[-1])
         if out:
             for f in out:
@@ -107,7 +125,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col:
     store.create_dir(at, recursive=True)
     spark = docs.sparkSession
     dealt = narrow(docs, id=id_col, text=text_col).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "id").sortWithinPartitions("id", "text")
-    parts = [r.asDict() for r in dealt.mapInArrow(run, MANIFEST).orderBy("part").collect()]  # a row for each partition
+    parts = sorted((r.asDict() for r in dealt.mapInArrow(run, MANIFEST).collect()), key=lambda p: p["part"])  # a row for each partition
     base = 0
     for p in parts:
         p["base"], base = base, base + p["tokens"]

@@ -259,4 +259,4 @@ def score(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_
 def report(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **names) -> DataFrame:
     """(id, held_out, score, predicted) of every document."""
     out = score(docs, train(docs, labels, **names))
-    return out.select("id", hold_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return out.select("id", F.coalesce(hold_out(F.col("id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, langid, media, neardup, pii, token_counts, token_files, toxicity
+from . import bpe, decontam, langid, media, neardup, pii, substrings, token_counts, token_files, toxicity
 from .common import table
 
 
@@ -50,11 +50,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.passages(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_token_counts, op5_near_duplicates, op6_token_files, op7_pii, op8_toxicity, op10_language)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_token_counts, op5_near_duplicates, op6_token_files, op7_pii, op8_toxicity, op9_substrings, op10_language)}
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": r"""

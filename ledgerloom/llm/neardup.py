@@ -11,11 +11,12 @@ Groups of copies are never expanded. Equal sets fall into one class by their has
 with the smallest class that has the key (an aggregate, so that hot keys don't gather), and each class takes the smallest of
 those it met: one candidate link a class. Links are confirmed and components formed. Only keys under which several
 components still meet are compared further: within such a key, classes of different components whose signatures are within
-MOST_ERRORS places and whose sizes allow the similarity become candidates; large keys are compared in blocks of BLOCK rows
-that spread over tasks, and only pairs in reach leave a block. So every link between different components is tried, and a
-link inside a component can't change the result.
+MOST_ERRORS places and whose sizes allow the similarity are held against each other on their full sets; large keys are
+compared in blocks of BLOCK rows that spread over tasks. A block gives out its rows with their partners' places, not pairs, and
+after the sets are in, only the links that join different components. So every link between different components is tried,
+and a link inside a component can't change the result.
 
-Candidate links are confirmed star by star: the texts of a star's members are sent to the text of its centre, hot centres in
+The first links are confirmed star by star: the texts of a star's members are sent to the text of its centre, hot centres in
 several parts.
 """
 
@@ -33,7 +34,8 @@ from .common import cut
 from .graph import components
 
 SYMBOLS, SYMBOL_BITS, CHUNKS, MOST_ERRORS = 40, 16, 10, 19
-BLOCK = 400
+#: Rows of a key that are held against as many others in one task.
+BLOCK = 300
 #: Members of a centre that one part holds.
 STAR_PART = 500
 KEPT_WORDS = 500_000
@@ -178,46 +180,117 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width
     return star.mapInArrow(run, "a long, b long").distinct()
 
 
-def _within_blocks(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b) pairs in reach from rows (key, i, j, side, id, comp, n, sig), sorted by (key, i, j)."""
-
-    def pairs(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        same = g["i"][0] == g["j"][0]
-        left = np.flatnonzero(g["side"] == 0)
-        right = left if same else np.flatnonzero(g["side"] == 1)
-        if not len(left) or not len(right):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        sig = np.frombuffer(b"".join(g["sig"]), "<u2").reshape(-1, SYMBOLS)
-        far = np.zeros((len(left), len(right)), np.uint8)
-        for k in range(SYMBOLS):
-            far += sig[left, k][:, None] != sig[right, k][None, :]
-        low, high = np.minimum.outer(g["n"][left], g["n"][right]), np.maximum.outer(g["n"][left], g["n"][right])
-        x, y = np.nonzero((far <= MOST_ERRORS) & (g["comp"][left][:, None] != g["comp"][right][None, :]) & (100 * low >= percent * high))
-        a, b = g["id"][left[x]], g["id"][right[y]]
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        return (a[x < y], b[x < y]) if same else (a, b)
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Array]]:
+    """The columns of each run of rows that are equal in the first `keys` columns (integers); rows come sorted by them."""
+    rest: list[pa.Array] | None = None
+    for batch in batches:
+        cols = [c if rest is None else pa.concat_arrays([r, c]) for c, r in zip(batch.columns, rest or batch.columns, strict=True)]
+        if not len(cols[0]):
+            continue
+        new = np.zeros(len(cols[0]) - 1, bool)
+        for c in cols[:keys]:
+            new |= np.diff(np.asarray(c)) != 0
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            yield [c.slice(x, y - x) for c in cols]
+        rest = [pa.concat_arrays([c.slice(cuts[-1])]) for c in cols]
+    if rest is not None and len(rest[0]):
+        yield rest
+
+
+def _in_reach(rows: DataFrame, percent: int) -> DataFrame:
+    """(block, at, id, comp, partners) from rows (key, i, j, side, id, comp, n, sig) sorted by (key, i, j).
+
+    For each class of a block with partners in reach: its place in the block and the places of the partners it is to be held
+    against. A pair is taken at the first of the keys that it shares, so it is taken once.
+    """
+    edges = np.linspace(0, SYMBOLS, CHUNKS + 1).astype(int)
+
+    def first_shared(same: np.ndarray) -> np.ndarray:
+        """The number of the first key each pair shares, from (pairs, SYMBOLS) equality of symbols."""
+        out = np.full(len(same), SYMBOLS, np.int64)
+        for a, b in reversed(list(zip(edges[:-1], edges[1:], strict=True))):
+            wrong = (b - a) - same[:, a:b].sum(axis=1)
+            only = a + np.argmin(same[:, a:b], axis=1)  # the place that differs if one does
+            out = np.where(wrong == 0, a, np.where(wrong == 1, only, out))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: dict[str, np.ndarray] | None = None
-        for batch in batches:
-            cols = {n: np.array(batch.column(k).to_pylist(), object) if n == "sig" else np.asarray(batch.column(k)) for k, n in enumerate(batch.schema.names)}
-            if rest is not None:
-                cols = {n: np.concatenate([rest[n], c]) for n, c in cols.items()}
-            if not len(cols["key"]):
+        for key, i, j, side, ids, comp, n, sig in _groups(batches, 3):
+            if len(ids) < 2:
+                continue
+            side, ids, comp, n = (np.asarray(c) for c in (side, ids, comp, n))
+            sig = np.frombuffer(b"".join(sig.to_pylist()), "<u2").reshape(-1, SYMBOLS)
+            one = i[0].as_py() == j[0].as_py()
+            left = np.flatnonzero(side == 0)
+            right = left if one else np.flatnonzero(side == 1)
+            if not len(left) or not len(right):
+                continue
+            far = np.zeros((len(left), len(right)), np.uint8)
+            for k in range(SYMBOLS):
+                far += sig[left, k][:, None] != sig[right, k][None, :]
+            low, high = np.minimum.outer(n[left], n[right]), np.maximum.outer(n[left], n[right])
+            x, y = np.nonzero((far <= MOST_ERRORS) & (comp[left][:, None] != comp[right][None, :]) & (100 * low >= percent * high))
+            x, y = left[x], right[y]
+            if one:
+                x, y = x[x < y], y[x < y]
+            if not len(x):
+                continue
+            # which key this block is of: the one that all its rows share, told by any two of them
+            mine = np.array([int(k) for k in np.flatnonzero(chunk_keys(sig[:1])[0] == key[0].as_py())])
+            first = np.concatenate([first_shared(sig[x[c : c + 20_000]] == sig[y[c : c + 20_000]]) for c in range(0, len(x), 20_000)])
+            own = np.isin(first, mine)
+            x, y = x[own], y[own]
+            if not len(x):
                 continue
-            new = (np.diff(cols["key"]) != 0) | (np.diff(cols["i"]) != 0) | (np.diff(cols["j"]) != 0)
-            cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
-            out = [pairs({n: c[x:y] for n, c in cols.items()}) for x, y in zip(cuts[:-1], cuts[1:], strict=True) if y - x > 1]
-            rest = {n: c[cuts[-1] :] for n, c in cols.items()}
-            yield _unique(out)
-        if rest is not None and len(rest["key"]) > 1:
-            yield _unique([pairs(rest)])
+            order = np.argsort(x, kind="stable")
+            x, y = x[order], y[order]
+            used = np.unique(np.r_[x, y])
+            begins, ends = np.searchsorted(x, used), np.searchsorted(x, used, side="right")
+            block = int(mix(np.array([(key[0].as_py() * 1_000_003 + i[0].as_py() * 1_009 + j[0].as_py()) & (2**64 - 1)], np.uint64)).view(np.int64)[0])
+            partners = [y[a:b].astype("<u2").tobytes() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), block)), pa.array(used.astype(np.int32)), pa.array(ids[used]), pa.array(comp[used]), pa.array(partners, pa.binary())], names=["block", "at", "id", "comp", "partners"])
 
-    def _unique(out: list) -> pa.RecordBatch:
-        both = np.unique(np.concatenate([np.stack(p, 1) for p in out]), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+    return rows.mapInArrow(run, "block long, at int, id long, comp long, partners binary")
 
-    return rows.mapInArrow(run, "a long, b long")
+
+def _confirm_blocks(reach: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) among the partners of each block, confirmed on full sets; no more of them than join its components."""
+    dealt = reach.join(texts, "id").select("block", "at", "id", "comp", "partners", "text").repartition("block").sortWithinPartitions("block", "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, at, ids, comp, partners, text in _groups(batches, 1):
+            at, ids, root = np.asarray(at), np.asarray(ids).tolist(), {c: c for c in np.asarray(comp).tolist()}
+            comp = np.asarray(comp).tolist()
+            sets = [shingles(t.as_py(), width) for t in text]
+            place = {p: k for k, p in enumerate(at.tolist())}
+
+            def top(c: int, root=root) -> int:
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            a, b = [], []
+            for k, raw in enumerate(partners):
+                mine = [place[p] for p in np.frombuffer(raw.as_py(), "<u2").tolist()]
+                mine = [m for m in mine if top(comp[m]) != top(comp[k])]
+                if not mine:
+                    continue
+                own, flat = sets[k], np.concatenate([sets[m] for m in mine])
+                found = np.searchsorted(own, flat)
+                found[found == len(own)] = 0
+                size = np.array([len(sets[m]) for m in mine])
+                both = np.add.reduceat((own[found] == flat).astype(np.int64), np.r_[0, np.cumsum(size)[:-1]])
+                for m, linked in zip(mine, (100 * both >= percent * (len(own) + size - both)).tolist(), strict=True):
+                    if linked and top(comp[m]) != top(comp[k]):
+                        root[top(comp[m])] = top(comp[k])
+                        a.append(min(ids[k], ids[m]))
+                        b.append(max(ids[k], ids[m]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _one_row_each(docs: DataFrame) -> DataFrame:
@@ -257,10 +330,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "id", "comp", "n", "sig")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    more = cut(_within_blocks(rows, percent).distinct())
-    if not more.isEmpty():
-        links = links.unionByName(confirm(more, texts, "id", "text", width, percent))
-    comp = components(links.unionByName(equal))
+    more = _confirm_blocks(cut(_in_reach(rows, percent)), texts, width, percent)
+    comp = components(links.unionByName(more).unionByName(equal))
     out = described.select("id", "n_shingles").join(comp, F.col("id") == F.col("node"), "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     out = every.select("id").where("id is not null").join(out, "id").select("id", "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
     lone = describe(every.where("id is null"), "id", "text", width).select("id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))

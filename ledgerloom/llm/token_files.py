@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import ensure_checkpoint_dir, narrow
 
-KEPT_PIECES = 700_000
+KEPT_PIECES = 1_000_000
 NO_ID = -(2**63)
 MANIFEST = "part int, name string, docs long, tokens long, width int"
 
@@ -60,17 +61,16 @@ class LibraryEncoder:
             word = p.rstrip(_SIGNS)
             if word and len(word) < len(p) and b"<|" not in p and word[-1:].isalnum():
                 parted[p] = (word, p[len(word) :])
+        kind = "H" if self.width == 2 else "I"
         ask = list({x for p in new for x in parted.get(p, (p,)) if x not in self.known})
         for p, e in zip(ask, self.library.encode_batch_fast([p.decode() for p in ask], add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, f"<u{self.width}").tobytes()
+            self.known[p] = array(kind, e.ids).tobytes()
         for p, (word, signs) in parted.items():
             self.known[p] = self.known[word] + self.known[signs]
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        cuts = []
-        for t in texts:
-            raw = t.encode()
-            cuts.append((raw if b"<|" in raw else raw.translate(_LOWER)).split())
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of UTF-8 texts, as unsigned integers of self.width bytes."""
+        cuts = [(t if b"<|" in t else t.translate(_LOWER)).split() for t in texts]
         new = set().union(*cuts).difference(self.known)
         if new and len(self.known) + len(new) > KEPT_PIECES:
             self.known.clear()
@@ -108,9 +108,9 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col:
             if out is None:
                 out = [store.open_output_stream(f"{at}/{name}.{x}") for x in ("ids", "off", "doc")]
                 out[1].write(np.zeros(1, "<i8").tobytes())
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            ids, texts = b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()
             for i in range(0, len(texts), 2_000):
-                coded = [x + end for x in e.encode_all([t or "" for t in texts[i : i + 2_000]])]
+                coded = [x + end for x in e.encode_all([t or b"" for t in texts[i : i + 2_000]])]
                 ends = tokens + np.cumsum([len(x) // e.width for x in coded])
                 out[0].write(b"".join(coded))
                 out[1].write(ends.astype("<i8").tobytes())

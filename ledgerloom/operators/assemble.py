@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _by_key(a, b):
+    return F.when(a["period_key"] < b["period_key"], -1).when(a["period_key"] > b["period_key"], 1).otherwise(0)
+
+
 def truth_pack(long_facts: DataFrame, derived: DataFrame, gates: DataFrame) -> DataFrame:
     """(ticker, pack): facts by period and field, metrics and gates as JSON; nulls are left out."""
     by_period = long_facts.groupBy("ticker", "period_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("fields"))
-    periods = by_period.groupBy("ticker").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("period_key", F.struct("fields").alias("p"))))).alias("periods"))
+    periods = by_period.groupBy("ticker").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("period_key", F.struct("fields").alias("p"))), _by_key)).alias("periods"))
     quality = gates.groupBy("ticker").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("gate", "status")))).alias("quality"))
     metrics = derived.select("ticker", F.struct(*[c for c in derived.columns if c != "ticker"]).alias("derived"))
     j = periods.join(metrics, "ticker", "left").join(quality, "ticker", "left")

@@ -19,9 +19,9 @@ def ratio(num: Column, den: Column, places: int = 4, percent: bool = False) -> C
     return F.round(q * 100 if percent else q, places)
 
 
-def inputs(facts: DataFrame, market: DataFrame | None = None) -> DataFrame:
+def inputs(facts: DataFrame, market: DataFrame | None = None, cascade: DataFrame | None = None) -> DataFrame:
     """One row per issuer: the cascade's flows (FY0's if it has no revenue), the latest balance and the market snapshot."""
-    flows = ttm.cascade(facts).select("ticker", "metodo", "rejected", *ttm.SUMMABLE)
+    flows = (ttm.cascade(facts) if cascade is None else cascade).select("ticker", "metodo", "rejected", *ttm.SUMMABLE)
     base = ttm.fy0(facts).select("ticker", F.struct(*ttm.SUMMABLE).alias("f0"))
     j = flows.join(base, "ticker", "left").join(ttm.latest_balance(facts, BALANCE).drop("period_key", "year"), "ticker", "left")
     whole = F.col("ingresos").isNotNull()

@@ -164,8 +164,15 @@ def islands_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.islands(A.facts(spark, sf_dir))
 
 
+def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Facts, the cascade and the metrics; the latter two have a row per issuer and are kept, as gates read them several times."""
+    f = A.facts(spark, sf_dir)
+    t = T.cascade(f).persist()
+    return f, t, M.derived(M.inputs(f, A.market(spark, sf_dir), t)).persist()
+
+
 def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.derived(M.inputs(A.facts(spark, sf_dir), A.market(spark, sf_dir)))
+    return _parts(spark, sf_dir)[2]
 
 
 def _metric_query(name: str, columns: tuple[str, ...]) -> None:
@@ -195,8 +202,7 @@ def derive_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = A.facts(spark, sf_dir)
-    return G.gates(f, T.cascade(f), M.derived(M.inputs(f, A.market(spark, sf_dir))), AS_OF_YEAR)
+    return G.gates(*_parts(spark, sf_dir), AS_OF_YEAR)
 
 
 @query(f"{_GATES} select ticker, gate, critical, status from gates")

@@ -71,11 +71,11 @@ def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.coverage_audit(_issuers(spark, sf_dir))
 
 
-_DAY = "with d as (select event_type, cast(ts as date) as day, cast(cast(sum(cast(value as decimal(20,6))) as double) * 100 as bigint) as total from events group by all)"
+_DAY = "with d as (select event_type, cast(ts as date) as day, cast(round(cast(sum(cast(value as decimal(20,6))) as double) * 100) as bigint) as total from events group by all)"
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type", F.col("ts").cast("date").alias("day")).agg((F.sum(F.col("value").cast("decimal(20,6)")).cast("double") * 100).cast("long").alias("total"))
+    return table(spark, sf_dir, "events").groupBy("event_type", F.col("ts").cast("date").alias("day")).agg(F.round(F.sum(F.col("value").cast("decimal(20,6)")).cast("double") * 100).cast("long").alias("total"))
 
 
 @query(f"{_DAY} select event_type, day, avg(total) over w as mean, max(total) over w as high, min(total) over w as low from d window w as (partition by event_type order by day rows between 6 preceding and current row)", dates=("day",))
@@ -88,7 +88,7 @@ def range_52w(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.trailing(_days(spark, sf_dir), "event_type", "day", "total", 252)
 
 
-_ASOF = "with e as (select event_id as row_id, user_id, epoch(ts)::bigint as t, event_type, value from events), r as (select row_id, user_id, t from e where event_type = 'purchase'), m as (select user_id, t, max(row_id) as mark from e where event_type = 'click' group by user_id, t)"
+_ASOF = "with e as (select event_id as row_id, user_id, floor(epoch(ts))::bigint as t, event_type, value from events), r as (select row_id, user_id, t from e where event_type = 'purchase'), m as (select user_id, t, max(row_id) as mark from e where event_type = 'click' group by user_id, t)"
 
 
 def _asof(spark: SparkSession, sf_dir: str, within: int | None) -> DataFrame:

@@ -78,12 +78,13 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = rolled(q.where(F.col("quarter") <= 2), "semestral", F.concat(F.lit("H1-"), text("year")), one, F.lit(6))
     every = annual.unionByName(quarterly).unionByName(half)
     every = every.withColumn("total_debt", F.col("total_liabilities") * 0.5)
+    # a few rows per issuer and year, read several times by most plans above
     return every.select(
         "ticker", "period_key", "period_type", "year", "ord", "end_date", *FLOWS, *STOCKS,
         (F.col("capex") * 2).alias("cfi"),
         F.when(F.col("year") % 2 == 0, -F.col("cfo") / 2).alias("cff"),
         F.when(F.col("n_nationkey") % 4 != 0, F.col("cfo") + F.col("capex") * 2 - F.col("cfo") / 2).alias("delta_cash"),
-    )
+    ).persist()
 
 
 def long_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from . import bytebpe
 from .common import arrow_map, narrow
 
 #: Pieces whose ids a worker keeps (some 160 bytes each), and the characters of the texts whose new words merge together.
-KEPT_PIECES, GROUP_CHARS = 700_000, 4_000_000
+KEPT_PIECES, GROUP_CHARS = 350_000, 2_000_000
 
 
 def _search(bpe: bytebpe.ByteBPE, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -38,7 +38,7 @@ SYMBOLS, SYMBOL_BITS, CHUNKS, MOST_ERRORS = 40, 16, 10, 19
 BLOCK = 300
 #: Members of a centre that one part holds.
 STAR_PART = 500
-KEPT_WORDS = 500_000
+KEPT_WORDS = 250_000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 

@@ -19,7 +19,7 @@ from . import bytebpe
 from .bpe import _arrow_type
 from .common import arrow_map, narrow
 
-KEPT_WORDS, KEPT_PIECES = 500_000, 900_000
+KEPT_WORDS, KEPT_PIECES = 300_000, 500_000
 
 
 def count_word(bpe: bytebpe.ByteBPE, word: bytes) -> int:

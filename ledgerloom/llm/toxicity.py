@@ -29,7 +29,7 @@ from .bpe import _arrow_type
 from .common import cut, hold_out
 
 SAMPLE, FEATURES, LEAST_DOCS, THRESHOLD = 20_000, 4_000, 4, 0.7
-KEPT_TOKENS = 600_000
+KEPT_TOKENS = 250_000
 SYMBOLS = 96
 
 # What signs and digits can stand for.
@@ -67,7 +67,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         for b in batches:
             texts, n = [], 0
             for t in [*b.column(0), None]:
-                if t is None or n > 2_000_000:
+                if t is None or n > 500_000:
                     s = symbols("  ".join(texts) + " ")
                     np.add(total, np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=SYMBOLS**3), out=total) if len(s) > 2 else None
                     texts, n = [], 0

@@ -317,14 +317,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut(copies.select(F.col("rep").alias("id"), "set_hash", "n", "sig"))
     equal = described.select("id", "set_hash").join(classes.select("set_hash", F.col("id").alias("a")), "set_hash").where("id != a").select("a", F.col("id").alias("b"))
     keys = keyed(classes)
-    least = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").drop("z")
+    # written before it is joined: a join whose side is still an aggregate can't have its large partitions split
+    least = cut(keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").drop("z"))
     shared = cut(keys.join(least, "key").select("key", "id", "a"))
     star = shared.where("id != a").groupBy("id").agg(F.min("a").alias("a")).select("a", F.col("id").alias("b"))
     links = cut(confirm(star, texts, "id", "text", width, percent))
     comp = components(links)
     placed = cut(shared.select("key", "id").join(comp, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("comp")))
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi")
-    mixed = mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+    mixed = cut(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")))
     rows = placed.join(mixed, "key").join(classes.select("id", "n", "sig"), "id")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))

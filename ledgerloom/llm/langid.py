@@ -26,6 +26,7 @@ from .common import hold_out
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES, LEVEL, MARGIN = 256, 4_000, 512 << 10, 3, 0.01
 
+SPARE = 4
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -37,7 +38,13 @@ def letters(text: str) -> str:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Dictionary content by language, from a bounded sample of rows that aren't held out."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("id is not null and lang is not null and text is not null").where(~hold_out(F.col("id")))
-    first = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))  # limited in each task before it shuffles
+    # a share of each language by hash, some SPARE times the sample, so that the window over a language stays small at any size
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # a row for each language
+    if not counts:
+        return {}
+    per = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col("lang")]
+    rows = rows.where(F.pmod(F.xxhash64("id"), per) < SPARE * SAMPLE_DOCS)
+    first = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
     ids = [r[0] for r in rows.select("id", "lang").withColumn("n", first).where(F.col("n") <= SAMPLE_DOCS).collect()]
     out: dict[str, bytes] = {}
     for lang, text in sorted(map(tuple, rows.where(F.col("id").isin(ids)).select("lang", F.substring("text", 1, SAMPLE_CHARS)).collect())):

@@ -2,7 +2,8 @@
 
 A character trigram model is counted over all texts. Words that look disguised (digits or signs for letters, letters held
 down, letters spaced out or parted by signs) become a lattice: each character may stand for letters at a cost, be dropped, or
-fold into the one before it. Viterbi decoding finds the cheapest reading under the model. The restored words are scored by
+fold into the one before it. Viterbi decoding finds the cheapest reading under the model. Letters spaced out have lost their
+word borders: the model places them, and the words of every placing close to the cheapest count. The restored words are scored by
 logistic regression over the words and word beginnings that tell the labels apart best.
 
 Labels come only from rows that aren't held out. The classifier is fitted on at most SAMPLE labelled rows, taken by a hash of
@@ -37,9 +38,11 @@ STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 PARTS = ".-_*~'`^"
 # Costs in nats: reading a sign as a letter, keeping it, dropping a parting sign, folding a held letter, holding a double.
 LETTER, KEEP, DROP, FOLD, DOUBLE = 0.7, 6.0, 0.3, 0.2, 2.5
+# Nats by which a reading of borders may be dearer than the cheapest for its words to count.
+SLACK = 6.0
 
 DISGUISED = re.compile(r"[^\W\d_][\d@$!|+€.\-_*~'`^]+[^\W\d_]|^[\d@$!|+€]+[^\W\d_]{2}|[^\W\d_]{2}[\d@$|+€]+$|([^\W\d_])\1\1")
-SPACED = re.compile(r"(?<!\S)(?:[^\W\d_]|[\d@$!|])(?: (?:[^\W\d_]|[\d@$!|])){3,}(?!\S)")
+SPACED = re.compile(r"(?<!\S)(?:[^\W\d_]|[\d@$!|])(?: (?:[^\W\d_]|[\d@$!|]))+(?!\S)")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -92,29 +95,80 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return -np.log(three).astype(np.float32)
 
 
-def decode(word: str, model: np.ndarray) -> str:
-    """The cheapest reading of a disguised word."""
-    at = _TABLE
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+def decode(word: str, model: np.ndarray, borders: bool = False) -> str:
+    """The cheapest reading of a disguised word; with borders, of words run together, spaces between them.
+
+    Readings are chains (letter, chain before), so that time and memory grow with the length of the word alone.
+    """
+    at, cost_of = _TABLE, model.item
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     prev = ""
     for ch in word:
-        options = [(LETTER, c) for c in STANDS_FOR.get(ch, "")]
+        options = [(LETTER, c, int(at[min(ord(c), 0x250)])) for c in STANDS_FOR.get(ch, "")]
         if ch.isalpha():
-            options.append((0.0, ch))
+            options.append((0.0, ch, int(at[min(ord(ch), 0x250)])))
         elif ch not in PARTS:
-            options.append((KEEP, ch))
-        step: dict[tuple[int, int], tuple[float, str]] = {}
+            options.append((KEEP, ch, int(at[min(ord(ch), 0x250)])))
+        dropped, held = ch in PARTS or not ch.isalnum(), ch == prev
+        if borders:
+            for (a, b), (cost, read) in list(best.items()):
+                if b:  # a word may end here
+                    total = cost + cost_of(a, b, 0)
+                    if (b, 0) not in best or total < best[b, 0][0]:
+                        best[b, 0] = (total, (" ", read))
+        step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, read) in best.items():
-            ways = [(cost + (DOUBLE if prev == ch and read.endswith(c) else 0) + w + float(model[a, b, at[min(ord(c), 0x250)]]), (b, int(at[min(ord(c), 0x250)])), read + c) for w, c in options]
-            if ch in PARTS or not ch.isalnum():
+            ways = [(cost + (DOUBLE if held and read and read[0] == c else 0) + w + cost_of(a, b, s), (b, s), (c, read)) for w, c, s in options]
+            if dropped:
                 ways.append((cost + DROP, (a, b), read))
-            if ch == prev and read:
+            if held and read:
                 ways.append((cost + FOLD, (a, b), read))
             for total, state, said in ways:
                 if state not in step or total < step[state][0]:
                     step[state] = (total, said)
         best, prev = step or best, ch
-    return min(((c + float(model[a, b, 0]), r) for (a, b), (c, r) in best.items()), default=(0.0, word))[1]
+    ends = [(c + cost_of(a, b, 0), r) for (a, b), (c, r) in best.items()]
+    least = min((c for c, _ in ends), default=0.0)
+    return min((_spelled(r) for c, r in ends if c == least), default=word)
+
+
+def _spelled(chain: tuple | None) -> str:
+    out = []
+    while chain:
+        out.append(chain[0])
+        chain = chain[1]
+    return "".join(reversed(out))
+
+
+def word_borders(letters: str, model: np.ndarray) -> list[str]:
+    """The distinct words of all readings with borders that cost at most SLACK more than the cheapest, by place."""
+    s = _TABLE[np.minimum(np.array([ord(c) for c in letters], np.int64), 0x250)]
+    n = len(s)
+    before = np.r_[0, s[:-1]]
+    first, second = model[before, 0, s], model[0, before, s]
+    inner = np.r_[0.0, np.cumsum(model[np.r_[0, 0, s[:-2]][:n], before, s].astype(float))]
+    close = model[before, s, 0]  # of a word that ends with this letter
+
+    def row(i: int) -> np.ndarray:
+        """The cost of the word from i to each end."""
+        out = np.empty(n - i)
+        out[0] = first[i] + model[0, s[i], 0]
+        if n - i > 1:
+            out[1:] = first[i] + second[i + 1] + (inner[i + 2 :] - inner[i + 2]) + close[i + 1 :]
+        return out
+
+    ahead, behind = np.full(n + 1, np.inf), np.zeros(n + 1)
+    ahead[0] = 0.0
+    for i in range(n):
+        np.minimum(ahead[i + 1 :], ahead[i] + row(i), out=ahead[i + 1 :])
+    for i in range(n - 1, -1, -1):
+        behind[i] = (row(i) + behind[i + 1 :]).min()
+    most, out = behind[0] + SLACK, {}
+    for i in range(n):
+        if ahead[i] + behind[i] <= most:
+            for j in np.flatnonzero(ahead[i] + row(i) + behind[i + 1 :] <= most).tolist():
+                out[letters[i : i + j + 1]] = None
+    return list(out)
 
 
 class Restorer:
@@ -125,8 +179,6 @@ class Restorer:
 
     def token(self, token: str) -> str:
         core = EDGES.sub("", token) if not token.isalpha() else token
-        if len(core) > 40:
-            return core
         if core and not core.isalpha():
             hidden = token if DISGUISED.search(token) else core
             if DISGUISED.search(hidden):
@@ -136,8 +188,8 @@ class Restorer:
         return core
 
     def spaced(self, text: str) -> list[str]:
-        """Readings of letters spaced out; the text may hold others beside them."""
-        return [decode(m[0].replace(" ", "")[:200], self.model) for m in SPACED.finditer(text)]
+        """Words read from letters spaced out, their borders placed by the model; the text may hold others beside them."""
+        return [w for m in SPACED.finditer(text) for w in word_borders(decode(m[0].replace(" ", ""), self.model, borders=True).replace(" ", ""), self.model)]
 
 
 def beginnings(word: str) -> list[str]:

@@ -54,7 +54,7 @@ def _quick(text: Column, kind: str) -> Column:
         "phone": text.contains("+"),
         "secret": text.rlike("[0-9]"),
         "number": text.rlike(r"[0-9](?:[\x20.-]?[0-9]){8}"),
-        "handle": text.rlike(r"[(\[{]at[)\]}]| at [A-Za-z0-9-]+ ?(?: dot |[(\[{]dot[)\]}])"),
+        "handle": text.rlike(r"(?:[(\[{]at[)\]}]| at ) ?[A-Za-z0-9-]+ ?(?:\.|[(\[{]dot[)\]}]| dot ) ?[A-Za-z]{2}"),
     }[kind]
 
 

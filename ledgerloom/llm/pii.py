@@ -247,17 +247,23 @@ def _selected(text: Column, kind: str, c: Chooser) -> Column:
     return F.filter(matches(text, kind), (lambda m: passes(m["value"], kind)) if kind in BASE else (lambda m: c.chosen(m, kind)))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, spans): array<(start, rank, kind, end)> of base and added spans by start, then kind."""
+def _decided(docs: DataFrame) -> DataFrame:
+    """docs (key, text) with base, the base spans, and spans, those and the added ones, by start, then kind."""
     c = chooser()
-    found = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).select("id", *[_selected(F.col("text"), k, c).alias(k) for k in KINDS])
-    ranked = found.select("id", *[F.transform(F.col(k), _ranked(k)).alias(k) for k in KINDS])
-    both = ranked.select("id", F.array_sort(F.concat(*BASE)).alias("base"), F.array_sort(F.concat(*ADDED)).alias("added"))
+    found = docs.select("key", "text", *[_selected(F.col("text"), k, c).alias(k) for k in KINDS])
+    ranked = found.select("key", "text", *[F.transform(F.col(k), _ranked(k)).alias(k) for k in KINDS])
+    both = ranked.select("key", "text", F.array_sort(F.concat(*BASE)).alias("base"), F.array_sort(F.concat(*ADDED)).alias("added"))
     over = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
     both = both.withColumn("added", F.filter("added", lambda a: ~F.exists(F.col("base"), lambda b: over(a, b))))
     ahead = lambda b, a: (b["start"] < a["start"]) | ((b["start"] == a["start"]) & ((b["end"] > a["end"]) | ((b["end"] == a["end"]) & (b["rank"] < a["rank"]))))
     both = both.withColumn("added", F.filter("added", lambda a: ~F.exists(F.col("added"), lambda b: over(a, b) & ahead(b, a))))
-    return both.select("id", "base", F.array_sort(F.concat("base", "added")).alias("spans"))
+    return both.select("key", "text", "base", F.array_sort(F.concat("base", "added")).alias("spans"))
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, spans): array<(start, rank, kind, end)> of base and added spans by start, then kind."""
+    rows = docs.select(F.col(id_col).alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))
+    return _decided(rows).select(F.col("key").alias("id"), "base", "spans")
 
 
 def _shown(spans: str) -> Column:
@@ -272,17 +278,16 @@ def report(docs: DataFrame, **names) -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with each selected span replaced by its kind in brackets, one kind after the other."""
-    c = chooser()
-
-    def replaced(text: Column, kind: str) -> Column:
-        zipped = _zipped(text, kind)
-        mark = F.lit(f"[{kind.upper()}]")
-        near = lambda m: F.struct(m["value"].alias("value"), F.right(m["before"], F.lit(24)).alias("before"), F.left(m["after"], F.lit(4)).alias("after"))
-        ok = (lambda m: passes(m["value"], kind)) if kind in BASE else (lambda m: c.chosen(near(m), kind))
-        parts = F.transform(zipped, lambda m: F.concat(m["before"], F.when(ok(m), mark).otherwise(m["value"])))
-        return F.when(_quick(text, kind), F.concat(F.array_join(parts, ""), F.element_at(F.split(text, PATTERNS[kind], -1), -1))).otherwise(text)
-
-    for kind in ("secret", *BASE, "number", "handle"):
-        docs = docs.withColumn(text_col, replaced(F.col(text_col), kind))
-    return docs
+    """docs with the spans of find() replaced by their kinds in brackets; base spans that overlap give way to the first's kind."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))
+    text, first = F.col("text"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        plain = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], plain, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+
+    end = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
+    masked = F.when(F.size("spans") > 0, F.aggregate("spans", first, step, end)).otherwise(F.col("key")[text_col])
+    out = _decided(rows).withColumn("masked", masked)
+    return out.select(*[F.col("masked").alias(c) if c == text_col else F.col("key")[c].alias(c) for c in docs.columns])

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, decontam, neardup, pii, toxicity
-from ledgerloom.llm.common import ensure_checkpoint_dir, table
+from ledgerloom.llm.common import cut, ensure_checkpoint_dir, table
 from ledgerloom.llm.queries import tokenizer
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -28,10 +28,25 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies (five-word shingles, similarity 0.8) stays: the smallest id."""
+    """One document of each component of near copies (five-word shingles, similarity 0.8) stays: the smallest id.
+
+    Of rows that repeat an id the one with the smallest text stays. Rows with null ids take part under ids above all others.
+    """
+    docs = docs.select(*COLUMNS).withColumn("unnamed", F.col("doc_id").isNull())
+    unnamed = docs.where("unnamed")
+    if not unnamed.isEmpty():
+        most = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0]
+        named = unnamed.withColumn("doc_id", F.lit(most).cast("long") + 1 + F.monotonically_increasing_id())
+        docs = docs.where("not unnamed").unionByName(cut(named))  # written, so that the ids stay the same
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    if not repeated.isEmpty():
+        order = Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text"), *COLUMNS[2:])
+        some = docs.join(repeated, "doc_id", "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
+        docs = docs.join(repeated, "doc_id", "left_anti").unionByName(some)
     found = neardup.near_duplicates(docs.select("doc_id", "text"), width=5, percent=80)
     gone = found.where(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    kept = docs.join(gone, "doc_id", "left_anti")
+    return kept.withColumn("doc_id", F.when(~F.col("unnamed"), F.col("doc_id"))).select(*COLUMNS)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import bytebpe
-from .common import arrow_map, narrow
+from .common import arrow_map, holds, narrow, parts, tidy
 
-#: Pieces whose ids a worker keeps (some 160 bytes each), and the characters of the texts whose new words merge together.
-KEPT_PIECES, GROUP_CHARS = 350_000, 2_000_000
+#: What a worker keeps of the pieces it has met (bytes, some 160 more for each), and the characters of the texts whose new words merge together.
+KEPT_BYTES, PIECE_BYTES, GROUP_CHARS = 56_000_000, 160, 1_000_000
 
 
 def _search(bpe: bytebpe.ByteBPE, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,8 +83,9 @@ class Encoder:
     """Encodes texts; keeps the ids (as 32-bit integers in bytes) of the space-delimited pieces it has met."""
 
     def __init__(self, path: str):
-        self.bpe = bytebpe.load(path)
+        self.bpe = bytebpe.ByteBPE(path)
         self.known: dict[str, bytes] = {}
+        self.kept = 0
         self.decimals = list(map(str, range(self.bpe.size)))
 
     def learn(self, new: list[str]) -> None:
@@ -108,6 +109,11 @@ class Encoder:
         for p, end in zip(new, ends, strict=True):
             self.known[p] = flat[begin:end]
             begin = end
+        self.kept += len(flat) + sum(map(len, new)) + PIECE_BYTES * len(new)
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.kept = 0
 
     def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
         """The ids of each text. New words of many texts are merged together."""
@@ -115,13 +121,13 @@ class Encoder:
         while at < len(texts):
             cuts, new, chars = [], set(), 0
             while at < len(texts) and chars < GROUP_CHARS:
-                ps, unknown = bytebpe.pieces(texts[at], self.known) if texts[at] else ([], ())
+                ps, unknown = bytebpe.pieces(texts[at], self.known, self.bpe.special_pattern) if texts[at] else ([], ())
                 cuts.append(ps)
                 new.update(unknown)
                 chars += len(texts[at])
                 at += 1
-            if len(self.known) + len(new) > KEPT_PIECES:
-                self.known.clear()
+            if self.kept > KEPT_BYTES:
+                self.forget()
                 new = {p for ps in cuts for p in ps}
             self.learn(list(new)) if new else None
             for ps in cuts:
@@ -137,7 +143,7 @@ class Encoder:
         return b"".join(map(self.bpe.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[str, Encoder] = holds("bpe")
 
 
 def encoder(path: str) -> Encoder:
@@ -154,7 +160,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         return {"id": b["id"], "ids": list(e.encode_all([t or "" for t in b["text"]]))}
 
     arrow = pa.schema([("id", _arrow_type(docs, id_col)), ("ids", pa.list_(pa.int32()))])
-    return arrow_map(narrow(docs, id=id_col, text=text_col), run, f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>", arrow)
+    return arrow_map(narrow(docs, id=id_col, text=text_col), run, f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>", arrow, "bpe")
 
 
 def decode(coded: DataFrame, tokenizer: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
@@ -165,7 +171,7 @@ def decode(coded: DataFrame, tokenizer: str, id_col: str = "id", ids_col: str =
         return {"id": b["id"], "text": [None if x is None else e.decode(x) for x in b["ids"]]}
 
     arrow = pa.schema([("id", _arrow_type(coded, id_col)), ("text", pa.string())])
-    return arrow_map(narrow(coded, id=id_col, ids=ids_col), run, f"id {coded.schema[id_col].dataType.simpleString()}, text string", arrow)
+    return arrow_map(narrow(coded, id=id_col, ids=ids_col), run, f"id {coded.schema[id_col].dataType.simpleString()}, text string", arrow, "bpe")
 
 
 def _arrow_type(df: DataFrame, col: str) -> pa.DataType:
@@ -181,14 +187,13 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     def run(batches):
         e = encoder(tokenizer)
         for b in batches:
-            for k in range(0, b.num_rows, 2_000):
-                part = b.slice(k, 2_000)
+            for part in parts(b, 1):
                 ids = list(e.encode_all([t or "" for t in part.column(1).to_pylist()]))
                 made = [pa.array(ids, arrow.field("ids").type), pa.array([len(x) for x in ids], pa.int64()), pa.array([e.decode(x) for x in ids], pa.string())]
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(arrow.field(0).type), *made, *[x.cast(f.type) for x, f in zip(part.columns[2:], list(arrow)[4:], strict=True)]], schema=arrow)
 
     kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(id_col, text_col, *keep).mapInArrow(run, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, ids array<int>, n_tokens long, decoded string{kept}")
+    return docs.select(id_col, text_col, *keep).mapInArrow(tidy(run, "bpe"), f"{id_col} {docs.schema[id_col].dataType.simpleString()}, ids array<int>, n_tokens long, decoded string{kept}")
 
 
 def digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,4 +210,4 @@ def digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
 
     kind = docs.schema[id_col].dataType.simpleString()
     arrow = pa.schema([("id", _arrow_type(docs, id_col)), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-    return arrow_map(narrow(docs, id=id_col, text=text_col), run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", arrow)
+    return arrow_map(narrow(docs, id=id_col, text=text_col), run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", arrow, "bpe")

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import numpy as np
 import regex
@@ -71,27 +70,22 @@ class ByteBPE:
         return out + WORDS.findall(text[at:])
 
 
-@lru_cache(maxsize=4)
-def load(path: str) -> ByteBPE:
-    return ByteBPE(path)
-
-
 EXACT_CUTS = re.compile(r"(?<=\S)(?= )")
+#: A space beside other white space, or at either end: cuts before all spaces may part a word.
+_RUNS = re.compile(r"\s |^ | $| \s")
 
 
-def pieces(text: str, known: dict) -> tuple[list[str], set[str]]:
+def pieces(text: str, known: dict, special: regex.Pattern | None = None) -> tuple[list[str], set[str]]:
     """Cut a text before single spaces; also gives the distinct pieces that aren't known.
 
     No word of the pattern reaches over a cut between a character other than white space and a space: white space never
     follows such a character inside a word, and what a run of white space becomes is settled by the run and what follows.
-    A space after other white space may be cut off as well if no white space follows it. Texts where a piece begins with
-    two white spaces take the slower exact cuts.
+    Texts in which a space stands beside other white space or that hold a special string are cut where this is so; others
+    before every space, which comes to the same. Only the text decides how it is cut, not what is known.
     """
-    parts = text.split(" ")
-    if "" not in parts:
+    if _RUNS.search(text) or (special is not None and special.search(text)):
+        out = [p for p in EXACT_CUTS.split(text) if p]
+    else:
+        parts = text.split(" ")
         out = parts[:1] + [" " + p for p in parts[1:]]
-        new = set(out).difference(known)
-        if not any(p[1:2].isspace() for p in new):
-            return out, new
-    out = [p for p in EXACT_CUTS.split(text) if p]
-    return out, {p for p in out if p not in known}
+    return out, set(out).difference(known)

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 
 from . import bytebpe
 from .bpe import _arrow_type
-from .common import arrow_map, narrow
+from .common import arrow_map, holds, narrow
 
-KEPT_WORDS, KEPT_PIECES = 300_000, 500_000
+#: Bytes that a worker's tables of words and pieces may take, counted as characters and ENTRY_BYTES more for each.
+KEPT_BYTES, ENTRY_BYTES = 80_000_000, 100
 
 
 def count_word(bpe: bytebpe.ByteBPE, word: bytes) -> int:
@@ -65,31 +66,35 @@ class Counter:
     """Counts tokens; keeps the counts of the words and pieces it has met."""
 
     def __init__(self, path: str):
-        self.bpe = bytebpe.load(path)
+        self.bpe = bytebpe.ByteBPE(path)
+        self.forget()
+
+    def forget(self) -> None:
         self.words: dict[str, int] = dict.fromkeys(self.bpe.special, 1)
         self.pieces: dict[str, int] = {}
+        self.kept = 0
 
     def word(self, w: str) -> int:
-        if len(self.words) >= KEPT_WORDS:
-            self.words = dict.fromkeys(self.bpe.special, 1)
         n = self.words[w] = count_word(self.bpe, w.encode())
+        self.kept += len(w) + ENTRY_BYTES
         return n
 
     def count(self, text: str) -> int:
         if not text:
             return 0
-        ps, new = bytebpe.pieces(text, self.pieces)
+        ps, new = bytebpe.pieces(text, self.pieces, self.bpe.special_pattern)
         if new:
-            if len(self.pieces) + len(new) > KEPT_PIECES:
-                self.pieces.clear()
+            if self.kept > KEPT_BYTES:
+                self.forget()
                 new = set(ps)
+            self.kept += sum(map(len, new)) + ENTRY_BYTES * len(new)
             split = self.bpe.words
             for p in new:
                 self.pieces[p] = sum([self.words.get(w) or self.word(w) for w in split(p)])
         return sum(map(self.pieces.__getitem__, ps))
 
 
-_counters: dict[str, Counter] = {}
+_counters: dict[str, Counter] = holds("token_counts")
 
 
 def counter(path: str) -> Counter:
@@ -108,4 +113,4 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, id_col: str
 
     arrow = pa.schema([("id", _arrow_type(docs, id_col)), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
     kind = docs.schema[id_col].dataType.simpleString()
-    return arrow_map(narrow(docs, id=id_col, text=text_col), run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean", arrow)
+    return arrow_map(narrow(docs, id=id_col, text=text_col), run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean", arrow, "token_counts")

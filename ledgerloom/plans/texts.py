@@ -15,38 +15,27 @@ query = Register()
 
 #: Cells made of line items, in the notations that filings use.
 _CELLS = """with c as (select distinct case l_linenumber % 8 when 0 then '(' || k || ')' when 1 then '$ ' || k when 2 then k || '%' when 3 then '-' || k when 4 then replace(k, '.', ',') when 5 then '( ' || k when 6 then ['—', 'N/A', '', 'nm', '1,234,567.8', '1.234,5', 'abc', '12a'][l_partkey % 8 + 1] else k end as cell
-  from (select *, cast(cast(l_extendedprice as decimal(18,2)) as varchar) as k from lineitem where l_orderkey % 20 = 0))"""
-_ALL_CELLS = _CELLS.replace(" where l_orderkey % 20 = 0", "")  # the *_whole queries take every row, the given SQL of the others a part
+  from (select *, cast(cast(l_extendedprice as decimal(18,2)) as varchar) as k from lineitem))"""
 _PARSE = """case when trim(cell) in ('—', '–', '-', 'N/A', 'n/a', 'NM', 'nm', '') then null else (case when trim(cell)[1] in ('(', '-', '−') then -1 else 1 end) *
   (case when regexp_full_match(plain, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') then try_cast(plain as double) end) end"""
 _BODY = "trim(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(trim(cell), '^[(\\-−]', ''), '^([^(]*)\\)$', '\\1'), '[$€£¥]', '', 'g')), '%+$', ''))"
 _PLAIN = f"b as (select cell, {_BODY} as body from c), p as (select cell, case when regexp_full_match(body, '[0-9.]+,[0-9]{{1,2}}') then replace(replace(body, '.', ''), ',', '.') else replace(body, ',', '') end as plain from b)"
 
 
-def _cells(spark: SparkSession, sf_dir: str, rows: str = "true") -> DataFrame:
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, n = F.col("l_extendedprice").cast("decimal(18,2)").cast("string"), F.col("l_linenumber") % 8
     odd = F.element_at(F.array(*map(F.lit, ("—", "N/A", "", "nm", "1,234,567.8", "1.234,5", "abc", "12a"))), (F.col("l_partkey") % 8 + 1).cast("int"))
     cell = F.when(n == 0, F.concat(F.lit("("), k, F.lit(")"))).when(n == 1, F.concat(F.lit("$ "), k)).when(n == 2, F.concat(k, F.lit("%"))).when(n == 3, F.concat(F.lit("-"), k)).when(n == 4, F.replace(k, F.lit("."), F.lit(","))).when(n == 5, F.concat(F.lit("( "), k)).when(n == 6, odd).otherwise(k)
-    return table(spark, sf_dir, "lineitem").where(rows).select(cell.alias("cell")).distinct()
+    return table(spark, sf_dir, "lineitem").select(cell.alias("cell")).distinct()
 
 
 @query(f"{_CELLS}, {_PLAIN} select cell, {_PARSE} as value from p")
 def number_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cells(spark, sf_dir, "l_orderkey % 20 = 0").select("cell", T.parse_number(F.col("cell")).alias("value"))
-
-
-@query(f"{_ALL_CELLS}, {_PLAIN} select cell, {_PARSE} as value from p")
-def number_parse_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(spark, sf_dir).select("cell", T.parse_number(F.col("cell")).alias("value"))
 
 
 @query(f"{_CELLS}, {_PLAIN} select cell, case when trim(cell) in ('', '-', '—', '–') then 0.0 else {_PARSE} end as value from p")
 def number_displayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cells(spark, sf_dir, "l_orderkey % 20 = 0").select("cell", T.parse_displayed(F.col("cell")).alias("value"))
-
-
-@query(f"{_ALL_CELLS}, {_PLAIN} select cell, case when trim(cell) in ('', '-', '—', '–') then 0.0 else {_PARSE} end as value from p")
-def number_displayed_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(spark, sf_dir).select("cell", T.parse_displayed(F.col("cell")).alias("value"))
 
 
@@ -83,38 +72,25 @@ def label_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labels(spark, sf_dir).select("label", T.normalize_label(F.col("label")).alias("norm"))
 
 
-_ALIASES = "a as (select alias, 'f' || ord % 9 as canonical, ord from (select lower(p_type) || case when ord % 3 = 0 then '' else ' ' || lower(p_brand) end as alias, ord from (select p_type, p_brand, min(p_partkey) as ord from part where p_partkey % 3 = 0 group by all)))"
+_ALIASES = "a as (select alias, 'f' || ord % 9 as canonical, ord from (select lower(p_type) || case when ord % 3 = 0 then '' else ' ' || lower(p_brand) end as alias, ord from (select p_type, p_brand, min(p_partkey) as ord from part group by all)))"
 _RESOLVED = f"""with {_LABELS}, {_ALIASES}, n as (select label, {_NORM} as norm from l), x as (select alias, arg_max(canonical, ord) as exact from a group by alias),
 f as (select label, arg_min(canonical, ord) as fuzzy from n left join x on norm = x.alias join a on exact is null and contains(norm, a.alias) and contains(a.alias, ' ') and length(a.alias) >= 6 group by label)
 select n.label, coalesce(exact, fuzzy) as canonical, case when exact is not null then 'exact' when fuzzy is not null then 'fuzzy' else 'none' end as how from n left join x on norm = alias left join f on f.label = n.label"""
 
 
-_ALL_RESOLVED = _RESOLVED.replace(" where p_partkey % 3 = 0", "")
-
-
-def _resolved(spark: SparkSession, sf_dir: str, rows: str = "true") -> DataFrame:
-    p = table(spark, sf_dir, "part").where(rows).groupBy("p_type", "p_brand").agg(F.min("p_partkey").alias("ord"))
+def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").groupBy("p_type", "p_brand").agg(F.min("p_partkey").alias("ord"))
     alias = F.concat(F.lower("p_type"), F.when(F.col("ord") % 3 == 0, "").otherwise(F.concat(F.lit(" "), F.lower("p_brand"))))
     return C.resolve_aliases(_labels(spark, sf_dir), p.select(alias.alias("alias"), F.concat(F.lit("f"), (F.col("ord") % 9).cast("string")).alias("canonical"), "ord"))
 
 
 @query(f"select label, canonical from ({_RESOLVED}) where how = 'exact'")
 def alias_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _resolved(spark, sf_dir, "p_partkey % 3 = 0").where("how = 'exact'").select("label", "canonical")
+    return _resolved(spark, sf_dir).where("how = 'exact'").select("label", "canonical")
 
 
 @query(_RESOLVED)
 def alias_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _resolved(spark, sf_dir, "p_partkey % 3 = 0")
-
-
-@query(f"select label, canonical from ({_ALL_RESOLVED}) where how = 'exact'")
-def alias_exact_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _resolved(spark, sf_dir).where("how = 'exact'").select("label", "canonical")
-
-
-@query(_ALL_RESOLVED)
-def alias_fuzzy_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved(spark, sf_dir)
 
 
@@ -133,11 +109,12 @@ def language_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spiced(spark, sf_dir).select("doc_id", T.language(F.col("text")).alias("language"))
 
 
-_CUR = ", ".join(f"len(regexp_extract_all(s, '{p}')) as {c}" for c, p in T.CURRENCY_PATTERNS)
-_TOP = f"greatest({', '.join(c for c, _ in T.CURRENCY_PATTERNS)})"
+_CODES = tuple(dict.fromkeys(c for _, c in T.CURRENCY_PATTERNS))
+_CUR = ", ".join(" + ".join(f"len(regexp_extract_all(s, '{p}'))" for p, x in T.CURRENCY_PATTERNS if x == c) + f" as {c}" for c in _CODES)
+_TOP = f"greatest({', '.join(_CODES)})"
 
 
-@query(f"with t as (select doc_id, substr({_SPICE}, 1, 20000) as s from documents), n as (select doc_id, {_CUR} from t) select doc_id, case when {_TOP} < 1 then 'USD' {' '.join(f'when {c} = {_TOP} then {c!r}' for c, _ in T.CURRENCY_PATTERNS)} end as currency from n")
+@query(f"with t as (select doc_id, substr({_SPICE}, 1, 20000) as s from documents), n as (select doc_id, {_CUR} from t) select doc_id, case when {_TOP} < 1 then 'USD' {' '.join(f'when {c} = {_TOP} then {c!r}' for c in _CODES)} end as currency from n")
 def currency_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spiced(spark, sf_dir).select("doc_id", T.currency(F.col("text")).alias("currency"))
 
@@ -207,21 +184,16 @@ _layout_query("space_aligned_tables", "aligned")
 _layout_query("vertical_balance_sheet", "vertical")
 
 
-_NARRATIVE = """select cast(doc_id as varchar) as doc, 'net income' as label, '2001' as column_header, cast(n_chars as double) as value, 'millions' as scale from documents where doc_id % 3 = 0"""
+_NARRATIVE = """select cast(doc_id as varchar) as doc, 'net income' as label, '2001' as column_header, cast(n_chars as double) as value, 'millions' as scale from documents"""
 
 
-def _narrative(spark: SparkSession, sf_dir: str, rows: str = "true") -> DataFrame:
-    d = table(spark, sf_dir, "documents").where(rows).select("doc_id", F.concat(F.lit("In 2001 net income was $"), F.format_number("n_chars", 0), F.lit(" million.")).alias("text"))
+def _narrative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("In 2001 net income was $"), F.format_number("n_chars", 0), F.lit(" million.")).alias("text"))
     return B.cells(d.select(F.col("doc_id").alias("doc"), "text"), "prose").select("doc", "label", "column_header", "value", "scale")
 
 
 @query(_NARRATIVE)
 def narrative_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _narrative(spark, sf_dir, "doc_id % 3 = 0")
-
-
-@query(_NARRATIVE.replace(" where doc_id % 3 = 0", ""))
-def narrative_values_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _narrative(spark, sf_dir)
 
 

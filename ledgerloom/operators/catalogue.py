@@ -92,18 +92,25 @@ def trailing(series: DataFrame, by: str, at: str, value: str, n: int) -> DataFra
     return series.select(by, at, F.avg(value).over(w).alias("mean"), F.max(value).over(w).alias("high"), F.min(value).over(w).alias("low"))
 
 
+#: Least length of an alias that may be part of a label.
+HEAD = 6
+
+
 def resolve_aliases(labels: DataFrame, aliases: DataFrame, reject: str | None = None) -> DataFrame:
     """(label, canonical, how): exact by the normalized label, else the first alias of several words and six letters in it.
 
-    Distinct labels are matched first, as labels repeat; the alias table has a few hundred rows.
+    Distinct labels are matched first, as labels repeat. For the second, the runs of HEAD characters of a label meet the beginnings
+    of aliases in an equi join, so that neither side has to be small. Labels that match `reject` have no name.
     """
     n = labels.select("label").distinct().withColumn("norm", T.normalize_label(F.col("label")))
     if reject is not None:
         n = n.withColumn("norm", F.when(~F.col("label").rlike(reject), F.col("norm")))
     exact = aliases.groupBy("alias").agg(F.max_by("canonical", "ord").alias("exact"))
-    fuzzy = aliases.where(F.col("alias").contains(" ") & (F.length("alias") >= 6))
+    several = aliases.where(F.col("alias").contains(" ") & (F.length("alias") >= HEAD)).withColumn("head", F.left("alias", F.lit(HEAD)))
     j = n.join(exact, F.col("norm") == F.col("alias"), "left").drop("alias")
-    hit = j.where("exact is null and norm is not null").join(F.broadcast(fuzzy), F.expr("contains(norm, alias)")).groupBy("label").agg(F.min_by("canonical", "ord").alias("fuzzy"))
+    runs = F.when(F.length("norm") >= HEAD, F.transform(F.sequence(F.lit(1), F.length("norm") - HEAD + 1), lambda i: F.col("norm").substr(i, F.lit(HEAD))))
+    heads = j.where("exact is null").select("label", "norm", F.explode(F.array_distinct(runs)).alias("head"))
+    hit = heads.join(several, "head").where(F.expr("contains(norm, alias)")).groupBy("label").agg(F.min_by("canonical", "ord").alias("fuzzy"))
     j = j.join(hit, "label", "left")
     return j.select("label", F.coalesce("exact", "fuzzy").alias("canonical"), F.when(F.col("exact").isNotNull(), "exact").when(F.col("fuzzy").isNotNull(), "fuzzy").otherwise("none").alias("how"))
 
@@ -124,11 +131,20 @@ def transcript(turns: DataFrame) -> DataFrame:
 def issuer_matches(targets: DataFrame, candidates: DataFrame, least: float = 0.5) -> DataFrame:
     """(target, candidate, score): the best candidate that shares words with the target, by Jaccard similarity.
 
-    Only names that share a word meet, through an equi join on words.
+    The words of a name are put in order, rare ones first; two names as similar as that share one of their first words, as many
+    as can be missing and one more. Only names that do meet, so that frequent words (inc, group) bring none together.
     """
-    words = lambda c: F.explode(F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != "")))
-    t, c = targets.select("target", words(F.col("target")).alias("w")), candidates.select("candidate", words(F.col("candidate")).alias("w"))
-    nt, nc = t.groupBy("target").agg(F.count("*").alias("nt")), c.groupBy("candidate").agg(F.count("*").alias("nc"))
-    both = t.join(c, "w").groupBy("target", "candidate").agg(F.count("*").alias("n")).join(nt, "target").join(nc, "candidate")
-    s = both.select("target", "candidate", F.round(F.col("n") / (F.col("nt") + F.col("nc") - F.col("n")), 6).alias("score")).where(F.col("score") >= least)
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != ""))
+    t = targets.select(F.col("target").alias("name"), words(F.col("target")).alias("ws")).distinct()
+    c = candidates.select(F.col("candidate").alias("name"), words(F.col("candidate")).alias("ws")).distinct()
+    often = t.unionByName(c).select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+
+    def first(names: DataFrame) -> DataFrame:
+        ranked = names.select("name", F.size("ws").alias("size"), F.explode("ws").alias("w")).join(often, "w").groupBy("name", "size").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("ws"))
+        many = F.col("size") - F.ceil(F.col("size") * least).cast("int") + 1
+        return ranked.select("name", F.transform("ws", lambda x: x["w"]).alias("ws"), F.explode(F.slice("ws", F.lit(1), many)).alias("x")).select("name", "ws", F.col("x.w").alias("w"))
+
+    both = first(t).select(F.col("name").alias("target"), F.col("ws").alias("tw"), "w").join(first(c).select(F.col("name").alias("candidate"), F.col("ws").alias("cw"), "w"), "w")
+    n = F.size(F.array_intersect("tw", "cw"))
+    s = both.select("target", "candidate", F.round(n / (F.size("tw") + F.size("cw") - n), 6).alias("score")).where(F.col("score") >= least)
     return s.groupBy("target").agg(F.min_by(F.struct("candidate", "score"), F.struct(-F.col("score"), F.col("candidate"))).alias("b")).select("target", "b.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -38,26 +38,47 @@ CANONICAL = ("ingresos", "cost_of_revenue", "gross_profit", "ebitda", "ebit", "n
 UNIT_FIELDS = ("ingresos", "ebit", "net_income", "cfo")
 
 
-def balance_identity(facts: DataFrame) -> DataFrame:
-    """Assets are liabilities and equity within 2 %, in the latest year with any of them; one missing part is imputed."""
-    any_of = F.coalesce("total_assets", "total_liabilities", "total_equity").isNotNull()
-    last = F.max_by(F.struct("total_assets", "total_liabilities", "total_equity"), F.when(any_of, F.struct("end_date", "period_key")))
-    r = facts.where("period_type = 'annual'").groupBy("ticker").agg(F.when(F.max(any_of), last).alias("r")).select("ticker", "r.*")
-    a, li, e = F.col("total_assets"), F.col("total_liabilities"), F.col("total_equity")
+#: The order of an issuer's years.
+LATEST = ("end_date", "period_key")
+
+
+def _balance_part() -> tuple[Column, Column]:
+    """What the balance gate looks at, and whether a year has any of it."""
+    return F.struct("total_assets", "total_liabilities", "total_equity"), F.coalesce("total_assets", "total_liabilities", "total_equity").isNotNull()
+
+
+def _balance_status(r: Column) -> Column:
+    a, li, e = r["total_assets"], r["total_liabilities"], r["total_equity"]
+    none = F.coalesce(a, li, e).isNull()
     a, li, e = F.coalesce(a, li + e), F.coalesce(li, a - e), F.coalesce(e, a - li)
     diff = F.try_divide(F.abs(a - (li + e)), F.abs(li + e))
-    status = F.when(F.coalesce("total_assets", "total_liabilities", "total_equity").isNull(), "SKIP").when(a.isNull() | li.isNull() | e.isNull(), "FAIL").when(li + e == 0, "SKIP").when(diff <= 0.02, "PASS").otherwise("FAIL")
-    return r.select("ticker", status.alias("status"))
+    return F.when(none, "SKIP").when(a.isNull() | li.isNull() | e.isNull(), "FAIL").when(li + e == 0, "SKIP").when(diff <= 0.02, "PASS").otherwise("FAIL")
+
+
+def _cash_part() -> tuple[Column, Column]:
+    whole = F.col("cfo").isNotNull() & F.col("cfi").isNotNull() & F.col("cff").isNotNull()
+    return F.struct((F.col("cfo") + F.col("cfi") + F.col("cff")).alias("bridge"), "delta_cash"), whole
+
+
+def _cash_status(r: Column) -> Column:
+    diff = F.abs(r["bridge"] - r["delta_cash"])
+    size = F.greatest(F.abs(r["delta_cash"]), F.abs(r["bridge"]), F.lit(1.0))
+    small = diff <= F.greatest(F.lit(50000.0), size * 0.005)
+    return F.when(r["delta_cash"].isNull(), "SKIP").when((diff / size <= 0.05) | small, "PASS").when(diff / size <= 0.10, "WARNING").otherwise("FAIL")
+
+
+def balance_identity(facts: DataFrame) -> DataFrame:
+    """Assets are liabilities and equity within 2 %, in the latest year with any of them; one missing part is imputed."""
+    part, holds = _balance_part()
+    r = facts.where("period_type = 'annual'").groupBy("ticker").agg(F.max_by(part, F.when(holds, F.struct(*LATEST))).alias("r"))
+    return r.select("ticker", _balance_status(F.col("r")).alias("status"))
 
 
 def cashflow_identity(facts: DataFrame) -> DataFrame:
     """cfo + cfi + cff is the change of cash: 5 % or a small amount passes, 10 % warns; the latest year with all three."""
-    whole = F.col("cfo").isNotNull() & F.col("cfi").isNotNull() & F.col("cff").isNotNull()
-    r = facts.where("period_type = 'annual'").where(whole).groupBy("ticker").agg(F.max_by(F.struct((F.col("cfo") + F.col("cfi") + F.col("cff")).alias("bridge"), "delta_cash"), F.struct("end_date", "period_key")).alias("r")).select("ticker", "r.*")
-    diff = F.abs(F.col("bridge") - F.col("delta_cash"))
-    size = F.greatest(F.abs("delta_cash"), F.abs("bridge"), F.lit(1.0))
-    status = F.when(F.col("delta_cash").isNull(), "SKIP").when((diff / size <= 0.05) | (diff <= F.greatest(F.lit(50000.0), size * 0.005)), "PASS").when(diff / size <= 0.10, "WARNING").otherwise("FAIL")
-    return r.select("ticker", status.alias("status"))
+    part, holds = _cash_part()
+    r = facts.where("period_type = 'annual'").where(holds).groupBy("ticker").agg(F.max_by(part, F.struct(*LATEST)).alias("r"))
+    return r.select("ticker", _cash_status(F.col("r")).alias("status"))
 
 
 def yoy(facts: DataFrame, fields: tuple[str, ...]) -> DataFrame:
@@ -87,23 +108,36 @@ def margin_sanity(metrics: DataFrame, sectors: DataFrame | None = None) -> DataF
 
 def gates(facts: DataFrame, ttm: DataFrame, metrics: DataFrame, as_of_year: int, sectors: DataFrame | None = None) -> DataFrame:
     """(ticker, gate, critical, status) of every issuer of facts and every gate."""
-    issuers = facts.select("ticker").distinct()
-    years = facts.where("period_type = 'annual'").groupBy("ticker").agg(F.max("year").alias("base"), F.max_by("ingresos", F.struct("end_date", "period_key")).alias("fy0"))
-    t = issuers.join(ttm.select("ticker", "metodo", "rejected", "ingresos"), "ticker", "left").join(years, "ticker", "left").join(metrics.select("ticker", "ev"), "ticker", "left")
+    annual, order = F.col("period_type") == "annual", F.struct(*LATEST)
+    w = W.partitionBy("ticker", "period_type").orderBy(*LATEST)
+    jumps = F.array(*[F.when(F.lag(c).over(w) != 0, F.abs(F.col(c) / F.lag(c).over(w))) for c in UNIT_FIELDS])
+    (balance, has_balance), (cash, has_cash) = _balance_part(), _cash_part()
+    filled = sum((F.count(c) for c in CANONICAL if c in facts.columns), F.lit(0))
+    # all that is asked of an issuer's facts, in one aggregate
+    own = facts.withColumn("jump", F.exists(jumps, lambda x: (x >= 1000) | (x <= 0.001))).groupBy("ticker").agg(
+        F.max_by(balance, F.when(annual & has_balance, order)).alias("balance"),
+        F.max_by(cash, F.when(annual & has_cash, order)).alias("cash"),
+        F.coalesce(F.bool_or(annual & F.col("jump")), F.lit(False)).alias("jumped"),
+        F.max(F.when(annual, F.col("year"))).alias("base"),
+        F.max_by("ingresos", F.when(annual, order)).alias("fy0"),
+        (filled / (F.count("*") * len(CANONICAL)) * 100).alias("pct"),
+    )
+    margins = margin_sanity(metrics, sectors).withColumnRenamed("status", "margin")
+    t = own.join(ttm.select("ticker", "metodo", "rejected", "ingresos"), "ticker", "left").join(metrics.select("ticker", "ev"), "ticker", "left").join(margins, "ticker", "left")
     none = F.coalesce(F.col("metodo"), F.lit("no_disponible")) == "no_disponible"
     ratio = F.when(F.col("fy0") != 0, F.col("ingresos") / F.col("fy0"))
     wide = t.select(
         "ticker",
+        F.when(F.col("balance").isNull(), "SKIP").otherwise(_balance_status(F.col("balance"))).alias("BALANCE_IDENTITY"),
+        F.when(F.col("cash").isNull(), "SKIP").otherwise(_cash_status(F.col("cash"))).alias("CASHFLOW_IDENTITY"),
+        F.when(F.col("jumped"), "FAIL").otherwise("PASS").alias("UNIDADES_SANITY"),
         F.when(F.col("ev").isNull(), "SKIP").when(F.col("ev") >= 0, "PASS").otherwise("WARNING").alias("EV_SANITY"),
+        F.coalesce("margin", F.lit("PASS")).alias("MARGIN_SANITY"),
         F.when(none | ratio.isNull(), "SKIP").when(ratio.between(0.5, 2.0), "PASS").otherwise("WARNING").alias("TTM_SANITY"),
         F.when(none, "SKIP").when((F.col("metodo") == "FY0_fallback") & F.col("rejected"), "WARNING").otherwise("PASS").alias("TTM_CONSECUTIVE"),
         F.when(F.col("base").isNull(), "SKIP").when(as_of_year - F.col("base") > 2, "WARNING").otherwise("PASS").alias("RECENCY_SANITY"),
+        F.when(F.col("pct") >= 50, "PASS").otherwise("WARNING").alias("DATA_COMPLETENESS"),
     )
-    filled = sum((F.count(c) for c in CANONICAL if c in facts.columns), F.lit(0))
-    share = facts.groupBy("ticker").agg((filled / (F.count("*") * len(CANONICAL)) * 100).alias("pct"))
-    parts = {"BALANCE_IDENTITY": (balance_identity(facts), "SKIP"), "CASHFLOW_IDENTITY": (cashflow_identity(facts), "SKIP"), "UNIDADES_SANITY": (unit_jumps(facts), "PASS"), "MARGIN_SANITY": (margin_sanity(metrics, sectors), "PASS"), "DATA_COMPLETENESS": (share.select("ticker", F.when(F.col("pct") >= 50, "PASS").otherwise("WARNING").alias("status")), "WARNING")}
-    for name, (df, missing) in parts.items():
-        wide = wide.join(df.withColumnRenamed("status", name), "ticker", "left").withColumn(name, F.coalesce(name, F.lit(missing)))
     critical = F.col("gate").isin([g for g, c in GATES.items() if c])
     return wide.unpivot(["ticker"], list(GATES), "gate", "status").select("ticker", "gate", critical.alias("critical"), "status")
 

@@ -32,23 +32,21 @@ def _base(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     price, disc, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
     net = price * (1 - disc)
-    flows = (
-        table(spark, sf_dir, "lineitem")
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("s_nationkey", F.year("l_shipdate").alias("year"), F.quarter("l_shipdate").alias("quarter"))
-        .agg(
-            _money(price).alias("ingresos"),
-            _money(price * disc).alias("cost_of_revenue"),
-            _money(price - price * disc).alias("gross_profit"),
-            _money(net * (tax + 0.1)).alias("ebit"),
-            _money(F.when(F.col("l_returnflag") == "R", -net * (1 - tax)).otherwise(net * (1 - tax))).alias("net_income"),
-            _money(F.when(F.col("l_linestatus") == "F", net).otherwise(F.lit(0.0))).alias("cfo"),
-            _money(F.when(F.col("l_returnflag") == "A", -price * tax).otherwise(F.lit(0.0))).alias("capex"),
-            _money(F.col("l_quantity")).alias("shares_outstanding"),
-        )
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .drop("s_nationkey")
-    )
+    sums = {
+        "ingresos": price,
+        "cost_of_revenue": price * disc,
+        "gross_profit": price - price * disc,
+        "ebit": net * (tax + 0.1),
+        "net_income": F.when(F.col("l_returnflag") == "R", -net * (1 - tax)).otherwise(net * (1 - tax)),
+        "cfo": F.when(F.col("l_linestatus") == "F", net).otherwise(F.lit(0.0)),
+        "capex": F.when(F.col("l_returnflag") == "A", -price * tax).otherwise(F.lit(0.0)),
+        "shares_outstanding": F.col("l_quantity"),
+    }
+    by = [F.year("l_shipdate").alias("year"), F.quarter("l_shipdate").alias("quarter")]
+    # by supplier first, so that the join takes a few rows of each
+    each = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", *by).agg(*[_money(v).alias(k) for k, v in sums.items()])
+    flows = each.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("s_nationkey", "year", "quarter").agg(*[F.sum(k).alias(k) for k in sums])
+    flows = flows.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).drop("s_nationkey")
     total, status = F.col("o_totalprice"), F.col("o_orderstatus")
     some = lambda s: _money(F.when(status == s, total).otherwise(F.lit(0.0)))
     stocks = (
@@ -67,24 +65,44 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = flows.join(stocks, ["n_nationkey", "year", "quarter"], "left")
     sums = [c for c in (*FLOWS, "shares_outstanding", "total_assets", "total_liabilities", "total_equity", "cash_and_equivalents")]
 
-    def rolled(df: DataFrame, kind: str, key: Column, ord_: Column, month: Column) -> DataFrame:
-        agg = df.groupBy("n_nationkey", "ticker", "year", ord_.alias("ord")).agg(*[F.sum(c).alias(c) for c in sums])
-        return agg.select("n_nationkey", "ticker", key.alias("period_key"), F.lit(kind).alias("period_type"), "year", "ord", F.last_day(F.make_date("year", month, F.lit(1))).alias("end_date"), *[F.col(c).cast("double").alias(c) for c in sums])
+    one, text, quarter, nation = F.lit(1), lambda c: F.col(c).cast("string"), F.col("quarter"), F.col("n_nationkey")
+
+    def kind(name: str, holds: Column, key: Column, ord_: Column, month: Column) -> Column:
+        return F.when(holds, F.struct(F.lit(name).alias("period_type"), key.alias("period_key"), ord_.cast("int").alias("ord"), month.cast("int").alias("month")))
 
-    one = F.lit(1)
-    text = lambda c: F.col(c).cast("string")
-    annual = rolled(q.where(F.col("year") < LAST_YEAR), "annual", F.concat(F.lit("FY"), text("year")), one, F.lit(12))
-    quarterly = rolled(q.where(~((F.col("quarter") == 4) & (F.col("n_nationkey") % NO_Q4 == 0))).where(~((F.col("n_nationkey") % HALF_YEARLY == 0) & (F.col("quarter") > 1))), "quarterly", F.concat(F.lit("Q"), text("ord"), F.lit("-"), text("year")), F.col("quarter"), F.col("ord") * 3)
-    half = rolled(q.where(F.col("quarter") <= 2), "semestral", F.concat(F.lit("H1-"), text("year")), one, F.lit(6))
-    every = annual.unionByName(quarterly).unionByName(half)
+    # a quarter counts for its year, for itself and for its half-year: the sums by quarter are made once
+    kinds = F.array_compact(F.array(
+        kind("annual", F.col("year") < LAST_YEAR, F.concat(F.lit("FY"), text("year")), one, F.lit(12)),
+        kind("quarterly", ~((quarter == 4) & (nation % NO_Q4 == 0)) & ~((nation % HALF_YEARLY == 0) & (quarter > 1)), F.concat(F.lit("Q"), text("quarter"), F.lit("-"), text("year")), quarter, quarter * 3),
+        kind("semestral", quarter <= 2, F.concat(F.lit("H1-"), text("year")), one, F.lit(6)),
+    ))
+    every = q.withColumn("k", F.explode(kinds)).groupBy("ticker", "n_nationkey", "year", "k").agg(*[F.sum(c).alias(c) for c in sums])
+    every = every.select("n_nationkey", "ticker", "k.period_key", "k.period_type", "year", "k.ord", F.last_day(F.make_date("year", "k.month", F.lit(1))).alias("end_date"), *[F.col(c).cast("double").alias(c) for c in sums])
     every = every.withColumn("total_debt", F.col("total_liabilities") * 0.5)
-    # a few rows per issuer and year, read several times by most plans above
-    return every.select(
+    every = every.select(
         "ticker", "period_key", "period_type", "year", "ord", "end_date", *FLOWS, *STOCKS,
         (F.col("capex") * 2).alias("cfi"),
         F.when(F.col("year") % 2 == 0, -F.col("cfo") / 2).alias("cff"),
         F.when(F.col("n_nationkey") % 4 != 0, F.col("cfo") + F.col("capex") * 2 - F.col("cfo") / 2).alias("delta_cash"),
-    ).persist()
+    )
+    return _kept(every, sf_dir)
+
+
+#: The facts that were asked for last: a few rows per issuer and year, read several times by most plans.
+_last: dict[str, DataFrame] = {}
+
+
+def _kept(facts: DataFrame, sf_dir: str) -> DataFrame:
+    """facts of this folder, held in memory until those of another are asked for; one table at a time is."""
+    old = _last.get(sf_dir)
+    if old is not None and old.sparkSession is facts.sparkSession and old.storageLevel.useMemory:
+        return old
+    for held in _last.values():
+        if held.sparkSession is facts.sparkSession:
+            held.unpersist()
+    _last.clear()
+    _last[sf_dir] = facts.persist()
+    return facts
 
 
 def long_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

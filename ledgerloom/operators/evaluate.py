@@ -43,6 +43,13 @@ def readiness(report: DataFrame, confidence: DataFrame, provenance: DataFrame) -
     return j.select("ticker", F.round(F.greatest(F.lit(0.0), raw), 2).alias("readiness"))
 
 
+def provenance(detail: DataFrame, origins: DataFrame) -> DataFrame:
+    """(ticker, provenance): percent of the values found for truth whose filing and method are both known; origins: (KEY, filing, method)."""
+    named = (F.coalesce("filing", F.lit("")) != "") & (F.coalesce("method", F.lit("")) != "")
+    j = detail.where("actual is not null").select(*KEY).join(origins.select(*KEY, named.alias("named")), KEY, "left")
+    return j.groupBy("ticker").agg(F.round(F.count_if("named") * 100.0 / F.count("*"), 2).alias("provenance"))
+
+
 def gaps(detail: DataFrame) -> DataFrame:
     """The details that aren't matched, with category and the share of missed values in their period."""
     period = W.partitionBy("ticker", "period_key")

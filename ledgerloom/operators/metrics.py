@@ -61,8 +61,12 @@ def derived(inputs: DataFrame) -> DataFrame:
 
 
 def derive_missing(facts: DataFrame, excluded: DataFrame) -> DataFrame:
-    """(ticker, period_key, ebitda, fcf): values made from others where not excluded (ticker, period_key, field)."""
-    out = facts.select("ticker", "period_key", F.lit("ebitda").alias("field"), (F.col("ebit") + F.abs(F.col("capex")) * 0.5).alias("value")).unionByName(
-        facts.select("ticker", "period_key", F.lit("fcf").alias("field"), (F.col("cfo") - F.abs("capex")).alias("value"))
-    )
+    """(ticker, period_key, field, value) of the derived fields that a period lacks.
+
+    ebitda is ebit and depreciation_amortization, fcf is cfo less the size of capex; a value that exists stays, one of whose
+    parts is missing isn't made, and those of excluded (ticker, period_key, field) are left out.
+    """
+    made = {"ebitda": F.col("ebit") + F.col("depreciation_amortization"), "fcf": F.col("cfo") - F.abs("capex")}
+    every = F.array(*[F.struct(F.lit(f).alias("field"), F.when(F.col(f).isNull(), v).alias("value")) for f, v in made.items()])
+    out = facts.select("ticker", "period_key", F.explode(every).alias("x")).select("ticker", "period_key", "x.*")
     return out.where("value is not null").join(excluded, ["ticker", "period_key", "field"], "left_anti")

@@ -52,12 +52,19 @@ def eval_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.extra(*_both(spark, sf_dir))
 
 
-@query(f"""{_DETAIL}, share as (select ticker, ({' + '.join(f'count({c})' for c in G.CANONICAL if c in A.FIELDS)}) * 100.0 / (count(*) * 29) as p from facts group by ticker)
-select r.ticker, round(greatest(0.0, score * 0.4 + coverage * 0.2 + round(p, 1) * 0.2 + 100.0 * 0.2 - least(15.0, extra * 100.0 / expected)), 2) as readiness from report r join share using (ticker)""")
+#: Where a value came from, made of its key.
+_ORIGIN = "case when length(field) % 7 = 0 then '' else 'F-' || period_key end"
+_READY = finance._GATES.removeprefix("with ").replace(A.FACTS_SQL + ",", "", 1)
+
+
+@query(f"""{_DETAIL}, {_READY},
+trust as (select ticker, greatest(0, least(100, 100 - 15 * count(*) filter (status = 'FAIL') - 5 * count(*) filter (status = 'WARNING') - 10 * count(*) filter (status = 'SKIP'))) as confidence from gates group by ticker),
+prov as (select ticker, round(count(*) filter ({_ORIGIN} <> '' and length(period_key) <> 6) * 100.0 / count(*), 2) as p from detail where actual is not null group by ticker)
+select r.ticker, round(greatest(0.0, score * 0.4 + coverage * 0.2 + coalesce(confidence, 0) * 0.2 + coalesce(p, 0.0) * 0.2 - least(15.0, extra * 100.0 / expected)), 2) as readiness from report r left join trust using (ticker) left join prov using (ticker)""")
 def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    confidence = G.completeness(A.facts(spark, sf_dir)).select("ticker", F.col("completeness_pct").alias("confidence"))
     t, f = _both(spark, sf_dir)
-    return E.readiness(E.report(t, f), confidence, f.select("ticker").distinct().withColumn("provenance", F.lit(100.0)))
+    origins = f.select(*E.KEY, F.when(F.length("field") % 7 == 0, "").otherwise(F.concat(F.lit("F-"), F.col("period_key"))).alias("filing"), F.when(F.length("period_key") != 6, "table").alias("method"))
+    return E.readiness(E.report(t, f), G.summary(finance._gates(spark, sf_dir)), E.provenance(E.detail(t, f), origins))
 
 
 @query(f"{_DETAIL} select row_number() over (order by n desc, field, status) as rank, field, status, n, tickers from (select field, status, count(*) as n, string_agg(distinct ticker, ',' order by ticker) as tickers from gaps group by field, status)")

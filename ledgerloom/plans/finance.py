@@ -194,11 +194,16 @@ def derived_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derived(spark, sf_dir)
 
 
-@query(f"""{_FACTS}, made as (select ticker, period_key, year, 'ebitda' as field, ebit + abs(capex) * 0.5 as value from facts union all select ticker, period_key, year, 'fcf', cfo - abs(capex) from facts)
-select ticker, period_key, field, value from made where value is not null and not (field = 'ebitda' and year = 1997)""")
+#: Depreciation and the fields that are there already, made of other facts.
+_KNOWN = "k as (select ticker, period_key, year, ebit, cfo, capex, case when year % 3 <> 0 then cost_of_revenue / 4 end as depreciation_amortization, case when year % 2 = 0 and period_type = 'annual' then ebit * 1.1 end as ebitda, case when period_type = 'semestral' then cfo end as fcf from facts)"
+
+
+@query(f"""{_FACTS}, {_KNOWN} select ticker, period_key, 'ebitda' as field, ebit + depreciation_amortization as value from k where ebitda is null and ebit is not null and depreciation_amortization is not null and year <> 1997
+union all select ticker, period_key, 'fcf', cfo - abs(capex) from k where fcf is null and cfo is not null and capex is not null""")
 def derive_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = A.facts(spark, sf_dir)
-    return M.derive_missing(f, f.where("year = 1997").select("ticker", "period_key", F.lit("ebitda").alias("field")))
+    f, year = A.facts(spark, sf_dir), F.col("year")
+    k = f.select("ticker", "period_key", "year", "ebit", "cfo", "capex", F.when(year % 3 != 0, F.col("cost_of_revenue") / 4).alias("depreciation_amortization"), F.when((year % 2 == 0) & (F.col("period_type") == "annual"), F.col("ebit") * 1.1).alias("ebitda"), F.when(F.col("period_type") == "semestral", F.col("cfo")).alias("fcf"))
+    return M.derive_missing(k, f.where("year = 1997").select("ticker", "period_key", F.lit("ebitda").alias("field")))
 
 
 def _gates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,11 +115,13 @@ def draft_vs_truth(draft: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-def signature(rows: DataFrame) -> DataFrame:
+def signature(rows: DataFrame, plain: tuple[str, ...] = ()) -> DataFrame:
     """A hash of a result that doesn't depend on the order of its rows: hashes of rows, summed and hashed again.
 
-    Summing keeps it a plain distributed aggregate, where hashing one sorted text would bring all rows together.
+    A row's text is JSON with sorted keys and no spaces; the columns of plain are numbers as text already. Summing keeps it a
+    plain distributed aggregate, where hashing one sorted text would bring all rows together.
     """
-    one = F.sha2(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}), 256)
+    shown = [F.concat(F.lit(f'"{c}":'), F.coalesce(F.col(c), F.lit("null")) if c in plain else F.coalesce(F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')), F.lit("null"))) for c in sorted(rows.columns)]
+    one = F.sha2(F.encode(F.concat(F.lit("{"), F.concat_ws(",", *shown), F.lit("}")), "UTF-8"), 256)
     part = F.conv(F.substring(one, 1, 12), 16, 10).cast("decimal(38,0)")
-    return rows.select(part.alias("h")).agg(F.count("*").alias("n"), F.sha2(F.concat_ws(":", F.count("*").cast("string"), F.sum("h").cast("string")), 256).alias("signature"))
+    return rows.select(part.alias("h")).agg(F.count("*").alias("n"), F.sha2(F.encode(F.concat_ws(":", F.count("*").cast("string"), F.sum("h").cast("string")), "UTF-8"), 256).alias("signature"))

@@ -39,32 +39,45 @@ def additive(candidates: DataFrame, by: tuple[str, ...], constituent: tuple[str,
     return once.groupBy(*by).agg(F.sum(F.col(value).cast("decimal(20,6)")).cast("double").alias(value), F.count("*").alias("n_parts"))
 
 
-def split_by_reason(candidates: DataFrame, reason: Column) -> DataFrame:
-    """candidates with the reason for which they are discarded, null if accepted."""
-    return candidates.withColumn("reason", reason)
+def _eps_choice(e: Column, n: Column) -> Column:
+    """new, existing or null for two values per share of equal priority."""
+    size = F.greatest(F.abs(e["value"]), F.abs(n["value"]))
+    delta = F.when((e["value"] != 0) & (n["value"] != 0), F.abs(e["value"] - n["value"]) / size)
+    stray = lambda x: ~x["primary"] & (x["ixbrl"] | x["weighted"])
+    return (
+        F.when(e["restated"] != n["restated"], F.when(n["restated"], "new").otherwise("existing"))
+        .when(e["weighted"] != n["weighted"], F.when(e["weighted"], "new").otherwise("existing"))
+        .when((e["value"] * n["value"] > 0) & (delta <= 0.05), "existing")
+        .when((e["primary"] != n["primary"]) & (delta >= 0.25), F.when(stray(e), "new").when(stray(n), "existing"))
+    )
 
 
 def merge(filings: DataFrame) -> DataFrame:
     """Fold the filings' values in order of priority, then of files, by the replacement rules.
 
-    filings: (ticker, period_key, field, filing_type, file, file_ord, value, affinity, semantic, rescaled, restated, has_key).
-    A challenger replaces the winner if its priority is better; at equal priority, if its affinity is better (unless both are
-    EPS within 5 % and of one sign) or, at equal affinity, its semantic rank is better and the winner's is positive; at worse
-    priority, only if the winner was rescaled and it wasn't. For EPS at equal priority an explicit restatement wins first.
+    filings: (ticker, period_key, field, filing_type, file, file_ord, value, affinity, semantic, rescaled, restated, has_key) and,
+    false where they lack, (weighted, primary, ixbrl): from a note on average shares, from the period's own filing, from tags.
+    A challenger replaces the winner if its priority is better; at equal priority, if its affinity is better or, at equal
+    affinity, its semantic rank is better and the winner's is positive; at worse priority, only if the winner was rescaled and it
+    wasn't. Values per share of equal priority are first told apart for themselves: a restatement wins, a note on average shares
+    loses, values within 5 % and of one sign stay, and of values 25 % apart the one from the period's own filing wins over tags
+    and notes of others. Each challenger adds one discard.
     """
     prio = type_priority(F.col("filing_type"))
-    one = F.struct(prio.alias("prio"), "file_ord", "file", "value", "affinity", "semantic", "rescaled", "restated", "has_key")
+    flags = [F.col(c) if c in filings.columns else F.lit(False).alias(c) for c in ("weighted", "primary", "ixbrl")]
+    one = F.struct(prio.alias("prio"), "file_ord", "file", "value", "affinity", "semantic", "rescaled", "restated", "has_key", *flags)
     grouped = filings.groupBy("ticker", "period_key", "field").agg(F.array_sort(F.collect_list(one)).alias("all"))
     eps = F.col("field").isin(*EPS)
 
     def step(acc: Column, n: Column) -> Column:
         e = acc["w"]
-        keyed = e["has_key"] & n["has_key"]
-        size = F.greatest(F.abs(e["value"]), F.abs(n["value"]))
-        near = eps & (e["value"] * n["value"] > 0) & (F.abs(e["value"] - n["value"]) <= size * 0.05)
-        equal = keyed & F.when(eps & n["restated"] & ~e["restated"], True).when(eps & e["restated"] & ~n["restated"], False).when(n["affinity"] < e["affinity"], ~near).when(n["affinity"] == e["affinity"], (e["semantic"] > 0) & (n["semantic"] < e["semantic"]) & ~near).otherwise(False)
-        take = F.when(n["prio"] < e["prio"], True).when(n["prio"] == e["prio"], equal).otherwise(e["rescaled"] & ~n["rescaled"])
-        why = F.when(take & (n["prio"] > e["prio"]), F.lit("quality_override_rescaled")).when(take, F.lit("replaced")).otherwise(F.lit("kept_first"))
+        choice = F.when(eps, _eps_choice(e, n))
+        near = eps & (e["value"] * n["value"] > 0) & (F.abs(e["value"] - n["value"]) <= F.greatest(F.abs(e["value"]), F.abs(n["value"])) * 0.05)
+        generic = F.when(n["affinity"] < e["affinity"], ~near).when(n["affinity"] == e["affinity"], (e["semantic"] > 0) & (n["semantic"] < e["semantic"])).otherwise(False)
+        equal = e["has_key"] & n["has_key"] & F.when(choice.isNotNull(), choice == "new").otherwise(generic)
+        exact = (n["prio"] > e["prio"]) & e["rescaled"] & ~n["rescaled"]
+        take = F.when(n["prio"] < e["prio"], True).when(n["prio"] == e["prio"], equal).otherwise(exact)
+        why = F.when(exact, F.lit("quality_override_rescaled")).otherwise(F.lit("duplicate_conflict"))
         return F.struct(F.when(take, n).otherwise(e).alias("w"), F.array_union(acc["reasons"], F.array(why)).alias("reasons"))
 
     start = F.struct(F.element_at("all", 1).alias("w"), F.array().cast("array<string>").alias("reasons"))

@@ -303,17 +303,45 @@ def _filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.dense_rank().over(W.partitionBy(F.col("doc") % 997).orderBy("doc", "line", "part", "label", "value")).alias("file_ord"),
         F.when(F.col("part") % 3 == 0, F.round(F.col("value") / 1000) * 1000).otherwise(F.col("value")).alias("value"),
         (F.col("part") % 3).cast("int").alias("affinity"), (F.col("line") % 3 - 1).cast("int").alias("semantic"), (F.col("part") % 11 == 0).alias("rescaled"), (F.col("part") % 13 == 0).alias("restated"), (F.col("part") % 7 != 0).alias("has_key"),
+        (F.col("part") % 17 == 0).alias("weighted"), (F.col("line") % 2 == 0).alias("primary"), (F.col("part") % 4 == 0).alias("ixbrl"),
     )
 
 
-@query()
+_EPS = "field = 'eps_basic'"
+#: The fold as a walk over each group's rows in order; e is the winner so far, n the next row.
+_FOLD = """with recursive c as (select l_orderkey as doc, l_linenumber as line, l_partkey as part, l_extendedprice as value, l_returnflag as label, ['10-K','10-Q','8-K','20-F','6-K'][l_suppkey % 5 + 1] as filing_type from lineitem),
+v as (select cast(doc % 997 as varchar) as ticker, 'FY2000' as period_key, ['ingresos', 'eps_basic'][doc % 2 + 1] as field, case when filing_type in ('10-K', '20-F') then 1 when filing_type in ('10-Q', '6-K') then 2 when filing_type = '8-K' then 3 else 4 end as prio,
+  dense_rank() over (partition by doc % 997 order by doc, line, part, label, value) as file_ord, concat_ws('-', doc, line, part, label, value) as file, case when part % 3 = 0 then round(value / 1000) * 1000 else value end as value, part % 3 as affinity, line % 3 - 1 as semantic,
+  part % 11 = 0 as rescaled, part % 13 = 0 as restated, part % 7 <> 0 as has_key, part % 17 = 0 as weighted, line % 2 = 0 as prim, part % 4 = 0 as tagged from c),
+o as (select ticker, period_key, field, v as w, row_number() over (partition by ticker, period_key, field order by prio, file_ord, file, value) as rn from v where {}),
+fold as (
+  select ticker, period_key, field, w, rn, cast([] as varchar[]) as reasons from o where rn = 1
+  union all
+  select ticker, period_key, field, case when take then n else e end, rn, list_distinct(list_append(reasons, case when exact then 'quality_override_rescaled' else 'duplicate_conflict' end)) from (
+    select *, case when n.prio < e.prio then true when n.prio > e.prio then exact when not (e.has_key and n.has_key) then false
+      when choice is not null then choice = 'new' when n.affinity < e.affinity then not near when n.affinity = e.affinity then e.semantic > 0 and n.semantic < e.semantic else false end as take from (
+      select *, n.prio > e.prio and e.rescaled and not n.rescaled as exact, case when field = 'eps_basic' then case
+        when e.restated <> n.restated then case when n.restated then 'new' else 'existing' end when e.weighted <> n.weighted then case when e.weighted then 'new' else 'existing' end
+        when near then 'existing' when e.value = 0 or n.value = 0 then null
+        when e.prim <> n.prim and abs(e.value - n.value) / greatest(abs(e.value), abs(n.value)) >= 0.25 then case when not e.prim and (e.tagged or e.weighted) then 'new' when not n.prim and (n.tagged or n.weighted) then 'existing' end end end as choice from (
+        select f.ticker, f.period_key, f.field, f.w as e, o.w as n, o.rn, f.reasons, f.field = 'eps_basic' and f.w.value * o.w.value > 0 and abs(f.w.value - o.w.value) <= greatest(abs(f.w.value), abs(o.w.value)) * 0.05 as near
+        from fold f join o on o.ticker = f.ticker and o.period_key = f.period_key and o.field = f.field and o.rn = f.rn + 1)))),
+ends as (select ticker, period_key, field, max(rn) as rn from o group by all)
+select ticker, period_key, field, f.w.value as value, f.w.file as file, rn - 1 as n_discarded, list_sort(f.reasons) as reasons from fold f join ends using (ticker, period_key, field, rn)"""
+
+
+def _told(merged: DataFrame) -> DataFrame:
+    return merged.withColumn("reasons", F.array_join("reasons", ","))
+
+
+@query(f"select * replace (array_to_string(reasons, ',') as reasons) from ({_FOLD.format('true')})")
 def merge_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.merge(_filings(spark, sf_dir))
+    return _told(R.merge(_filings(spark, sf_dir)))
 
 
-@query()
+@query(f"select * replace (array_to_string(reasons, ',') as reasons) from ({_FOLD.format(_EPS)})")
 def eps_restatement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.merge(_filings(spark, sf_dir).where(F.col("field") == "eps_basic"))
+    return _told(R.merge(_filings(spark, sf_dir).where(F.col("field") == "eps_basic")))
 
 
 @query(f"with {A.TRUTH_SQL} select coalesce(f.ticker, t.ticker) as ticker, coalesce(f.period_key, t.period_key) as period_key, coalesce(f.field, t.field) as field, coalesce(f.value, t.expected) as value, case when f.value is null then 'manual' else 'table' end as method from long_facts f full join truth t on f.ticker = t.ticker and f.period_key = t.period_key and f.field = t.field")

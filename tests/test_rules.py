@@ -55,7 +55,7 @@ def merged(spark, *rows):
 
 
 def test_merge(spark):
-    assert merged(spark, ("ingresos", "10-Q", "q", 0, 1.0, 0, 0, False, False, True), ("ingresos", "10-K", "k", 1, 2.0, 0, 0, False, False, True)) == {"ingresos": (2.0, 1, ["kept_first"])}
+    assert merged(spark, ("ingresos", "10-Q", "q", 0, 1.0, 0, 0, False, False, True), ("ingresos", "10-K", "k", 1, 2.0, 0, 0, False, False, True)) == {"ingresos": (2.0, 1, ["duplicate_conflict"])}
     assert merged(spark, ("ingresos", "10-K", "a", 0, 1.0, 1, 0, False, False, True), ("ingresos", "10-K", "b", 1, 2.0, 0, 0, False, False, True))["ingresos"][0] == 2.0
     assert merged(spark, ("eps_basic", "10-K", "a", 0, 1.0, 1, 0, False, False, True), ("eps_basic", "10-K", "b", 1, 1.04, 0, 0, False, False, True))["eps_basic"][0] == 1.0
     assert merged(spark, ("ingresos", "10-K", "a", 0, 1.0, 0, 0, True, False, True), ("ingresos", "8-K", "b", 1, 3.0, 0, 0, False, False, True))["ingresos"] == (3.0, 1, ["quality_override_rescaled"])
@@ -63,6 +63,22 @@ def test_merge(spark):
     assert merged(spark, ("ingresos", "10-K", "a", 0, 1.0, 0, 0, False, False, True))["ingresos"] == (1.0, 0, [])
 
 
+def test_merge_of_values_per_share(spark):
+    schema = "ticker string, period_key string, field string, filing_type string, file string, file_ord int, value double, affinity int, semantic int, rescaled boolean, restated boolean, has_key boolean, weighted boolean, primary boolean, ixbrl boolean"
+
+    def value(first, second):
+        rows = [("T", "FY2020", "eps_basic", "10-K", f, k, v, 0, 0, False, *x) for k, (f, v, *x) in enumerate((("a", *first), ("b", *second)))]
+        return resolve.merge(spark.createDataFrame(rows, schema)).first().value
+
+    plain = (False, True, False, True, False)  # restated, has_key, weighted, primary, ixbrl
+    assert value((1.0, *plain), (2.0, True, True, False, False, False)) == 2.0
+    assert value((1.0, False, True, True, True, False), (2.0, *plain)) == 2.0
+    assert value((1.0, False, True, False, False, True), (1.3, *plain)) == 1.0  # 23 % apart
+    assert value((1.0, False, True, False, False, True), (1.5, *plain)) == 1.5
+    assert value((1.0, False, True, False, False, False), (1.5, *plain)) == 1.0
+    assert value((0.0, False, True, False, False, True), (1.5, *plain)) == 0.0
+
+
 def test_aliases(spark):
     labels = spark.createDataFrame([("Net sales (Note 3)",), ("Total net sales of goods",), ("sales",), ("– Basic",)], "label string")
     aliases = spark.createDataFrame([("net sales", "ingresos", 0), ("sales", "other", 1)], "alias string, canonical string, ord int")

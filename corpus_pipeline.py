@@ -2,13 +2,17 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns the columns of documents; the last
 one returns what was encoded. Between stages the rows are written as Parquet to the session's shared checkpoint folder.
+
+Defined results, in every stage: null and empty texts are kept (their score is that of no evidence, they have no copies, hits,
+spans or ids); long texts are worked on whole; rows with null or repeated ids are rows like others; an empty table gives an empty
+result; columns other than those of documents are not read.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, decontam, neardup, pii, toxicity
@@ -28,25 +32,25 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies (five-word shingles, similarity 0.8) stays: the smallest id.
+    """One row of each component of near copies (five-word shingles, similarity 0.8) stays: the smallest id.
 
-    Of rows that repeat an id the one with the smallest text stays. Rows with null ids take part under ids above all others.
+    Rows with null or repeated ids each take part for themselves, under numbers above all ids, in the order of id and text; they
+    come out with the ids they had.
     """
-    docs = docs.select(*COLUMNS).withColumn("unnamed", F.col("doc_id").isNull())
-    unnamed = docs.where("unnamed")
-    if not unnamed.isEmpty():
-        most = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0]
-        named = unnamed.withColumn("doc_id", F.lit(most).cast("long") + 1 + F.monotonically_increasing_id())
-        docs = docs.where("not unnamed").unionByName(cut(named))  # written, so that the ids stay the same
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    docs = docs.select(*COLUMNS)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    plain, odd = docs.withColumn("row", F.col("doc_id").cast("long")), docs.where("doc_id is null")
     if not repeated.isEmpty():
-        order = Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text"), *COLUMNS[2:])
-        some = docs.join(repeated, "doc_id", "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
-        docs = docs.join(repeated, "doc_id", "left_anti").unionByName(some)
-    found = neardup.near_duplicates(docs.select("doc_id", "text"), width=5, percent=80)
-    gone = found.where(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.withColumn("doc_id", F.when(~F.col("unnamed"), F.col("doc_id"))).select(*COLUMNS)
+        repeated = cut(repeated)
+        odd = odd.unionByName(docs.join(repeated, "doc_id", "left_semi").select(*COLUMNS))
+        plain = plain.join(repeated, "doc_id", "left_anti").select(*COLUMNS, "row")
+    if not odd.isEmpty():
+        most = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long")).first()[0]
+        named = odd.repartitionByRange(*COLUMNS).sortWithinPartitions(*COLUMNS).withColumn("row", F.lit(most) + 1 + F.monotonically_increasing_id())
+        plain = plain.where("doc_id is not null").unionByName(cut(named))  # written, so that the numbers stay the same
+    found = neardup.near_duplicates(plain, id_col="row", width=5, percent=80)
+    gone = found.where(~F.col("kept")).select(F.col("id").alias("row"))
+    return plain.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

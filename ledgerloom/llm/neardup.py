@@ -30,53 +30,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, integers, tidy
 from .graph import components
+from .wordhash import Words, mix
 
 SYMBOLS, SYMBOL_BITS, CHUNKS, MOST_ERRORS = 40, 16, 10, 19
 #: Rows of a key that are held against as many others in one task.
 BLOCK = 300
 #: Members of a centre that one part holds.
-STAR_PART = 500
-KEPT_WORDS = 250_000
-
-_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_hashes = _Hashes()
-
-
-def words(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_LOWER).split()
-
-
-def word_hashes(ws: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, ws), np.uint64, len(ws))
-
-
-def mix(h: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit integers that spreads every bit."""
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(33))
-
+STAR_PART = 100
+#: Words are parted by ASCII white space.
+WORDS = Words(b"\x20\x09\x0a\x0b\x0c\x0d")
 
 _rng = np.random.default_rng(20240229)
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MUL = _rng.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """The distinct shingle hashes of a text, ascending. A text of fewer words has one shingle, all of it."""
-    h = word_hashes(words(text))
+def shingles(h: np.ndarray, width: int) -> np.ndarray:
+    """The distinct shingle hashes of a text's word hashes, ascending. A text of fewer words has one shingle, all of it."""
     if not len(h):
         return h
     n = min(width, len(h))
@@ -86,6 +58,12 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(mix(total))
 
 
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first text, sets) of runs of texts of some 500 kB together."""
+    for at, _, h, cuts in WORDS.pieces(texts, 1 << 19):
+        yield at, [shingles(h[x:y], width) for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """(sets, SYMBOLS) 16-bit symbols; the sets aren't empty."""
     flat = np.concatenate(sets)
@@ -119,20 +97,13 @@ def describe(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_pylist()
-            at = 0
-            while at < len(ids):
-                sets, n, begin = [], 0, at
-                while at < len(ids) and n < 1_000_000:
-                    sets.append(shingles(b.column(1)[at].as_py(), width))
-                    n += len(sets[-1])
-                    at += 1
+            for at, sets in shingle_sets(b.column(1), width):
                 full = [s for s in sets if len(s)]
                 sigs = iter(signatures(full)) if full else iter(())
                 rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes()), next(sigs).tobytes()) if len(s) else (0, None, None) for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[begin:at], pa.int64()), *[pa.array([r[k] for r in rows], f.type) for k, f in enumerate(list(arrow)[1:])]], schema=arrow)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(sets)), *[pa.array([r[k] for r in rows], f.type) for k, f in enumerate(list(arrow)[1:])]], schema=arrow)
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "id long, n_shingles long, set_hash binary, sig binary")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(tidy(run), "id long, n_shingles long, set_hash binary, sig binary")
 
 
 def keyed(classes: DataFrame) -> DataFrame:
@@ -147,7 +118,7 @@ def keyed(classes: DataFrame) -> DataFrame:
                     keys = chunk_keys(sig[k : k + 20_000])
                     yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids[k : k + 20_000], SYMBOLS))], names=["key", "id"])
 
-    return classes.select("id", "sig").mapInArrow(run, "key long, id long")
+    return classes.select("id", "sig").mapInArrow(tidy(run), "key long, id long")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
@@ -160,15 +131,14 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width
     star = star.repartition("a", "part").sortWithinPartitions("a", "part", (F.col("id") != F.col("a")), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, own = None, np.zeros(0, np.uint64)
+        own = np.zeros(0, np.uint64)
         for batch in batches:
             a, b = [], []
-            for c, i, t in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+            sets = (x for _, some in shingle_sets(batch.column(3), width) for x in some)
+            for c, i, other in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), sets, strict=True):
                 if c == i:
-                    if centre != c:
-                        centre, own = c, shingles(t.as_py(), width)
+                    own = other
                     continue
-                other = shingles(t.as_py(), width)
                 if not 100 * min(len(own), len(other)) >= percent * max(len(own), len(other)):
                     continue
                 both = len(np.intersect1d(own, other, assume_unique=True))
@@ -177,7 +147,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width
                     b.append(i)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return star.mapInArrow(run, "a long, b long").distinct()
+    return star.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Array]]:
@@ -251,18 +221,19 @@ def _in_reach(rows: DataFrame, percent: int) -> DataFrame:
             partners = [y[a:b].astype("<u2").tobytes() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), block)), pa.array(used.astype(np.int32)), pa.array(ids[used]), pa.array(comp[used]), pa.array(partners, pa.binary())], names=["block", "at", "id", "comp", "partners"])
 
-    return rows.mapInArrow(run, "block long, at int, id long, comp long, partners binary")
+    return rows.mapInArrow(tidy(run), "block long, at int, id long, comp long, partners binary")
 
 
 def _confirm_blocks(reach: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) among the partners of each block, confirmed on full sets; no more of them than join its components."""
-    dealt = reach.join(texts, "id").select("block", "at", "id", "comp", "partners", "text").repartition("block").sortWithinPartitions("block", "at")
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = reach.join(texts, "id").select("block", "at", "id", "comp", "partners", "text").repartition(tasks, "block").sortWithinPartitions("block", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, at, ids, comp, partners, text in _groups(batches, 1):
             at, ids, root = np.asarray(at), np.asarray(ids).tolist(), {c: c for c in np.asarray(comp).tolist()}
             comp = np.asarray(comp).tolist()
-            sets = [shingles(t.as_py(), width) for t in text]
+            sets = [x for _, some in shingle_sets(text, width) for x in some]
             place = {p: k for k, p in enumerate(at.tolist())}
 
             def top(c: int, root=root) -> int:
@@ -290,7 +261,7 @@ def _confirm_blocks(reach: DataFrame, texts: DataFrame, width: int, percent: int
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tidy(run), "a long, b long")
 
 
 def _one_row_each(docs: DataFrame) -> DataFrame:
@@ -308,9 +279,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Defined results: null or empty text, or one without words, has an empty set, is linked with nothing and is its own
     component; of rows that repeat an id the smallest text stands for the id, and each row gives a row; a null id has no
     component, is linked with nothing and is kept; an empty table gives an empty result; only the named columns are read.
-    Ids are integers.
+    Ids are integers; others are refused.
     """
-    every = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    every = docs.select(integers(docs, id_col).alias("id"), F.col(text_col).alias("text"))
     texts = _one_row_each(every.where("id is not null"))
     described = cut(describe(texts, "id", "text", width))
     copies = described.where("set_hash is not null").groupBy("set_hash").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
@@ -330,7 +301,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "id", "comp", "n", "sig")
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+    # by number, not by size: what a block costs isn't told by its bytes
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
     more = _confirm_blocks(cut(_in_reach(rows, percent)), texts, width, percent)
     comp = components(links.unionByName(more).unionByName(equal))
     out = described.select("id", "n_shingles").join(comp, F.col("id") == F.col("node"), "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))

@@ -5,9 +5,9 @@ the windows of the benchmark: WINDOW words, or all of a shorter item. Patterns o
 blocks of two neighbouring words tells how far the search may go on without missing an occurrence; where it says 0, the bucket
 of the block is looked up and its patterns are compared word by word.
 
-The benchmark is a set of queries against all rows. It is read in blocks of items of at most BLOCK_BYTES of text, cut by its
-own running size; each block is searched in a pass over the documents that adds to the words hit and items found so far, so a
-benchmark of any size is searched whole without a shuffle.
+The benchmark is a set of queries against all rows. It is dealt by hash into as many blocks as its bytes make up BLOCK_BYTES.
+Each block is searched in a pass of its own over the documents, which adds to the words hit and items found so far; what a pass
+made is written to the shared checkpoint folder before the next, so that one block at a time is in memory.
 
 Defined results: a null or empty text has no words and no hits; an item without words has no windows; items of equal text are
 all reported; a null item id is left out; repeated rows each give a row; an empty benchmark gives no hits; an empty table
@@ -21,11 +21,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import _arrow_type
-from .common import narrow
+from .common import cut, parts, tidy
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -98,37 +97,27 @@ def merge(ranges: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> list[int]:
-    """The numbers of the blocks of items; adds nothing to the driver but one row per block."""
-    return [r[0] for r in _numbered(benchmark, item_col, text_col, size).select("block").distinct().orderBy("block").collect()]
-
-
-def _numbered(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> DataFrame:
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("item is not null and text is not null")
-    items = items.withColumn("part", F.spark_partition_id()).withColumn("n", F.octet_length("text").cast("long"))
-    # blocks within hash buckets of items, so that no one task sees the whole benchmark
-    items = items.withColumn("bucket", F.pmod(F.xxhash64("item", "text"), F.lit(64)))
-    run = F.sum("n").over(W.partitionBy("bucket").orderBy("item", "text").rowsBetween(W.unboundedPreceding, -1))
-    total = benchmark.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    if total <= size:
-        return items.select("item", "text", F.lit(0).alias("block"))
-    return items.select("item", "text", (F.coalesce(F.floor(run / size), F.lit(0)) * 64 + F.col("bucket")).cast("int").alias("block"))
+def _numbered(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> tuple[DataFrame, int]:
+    """The distinct items (item, text, block), and the number of blocks."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("item is not null and text is not null").distinct()
+    blocks = -(-(items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // size) or 1
+    return items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks))), blocks
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, text, keep..., n_words, ranges, items): the word ranges of each document that lie in a window's occurrence."""
-    numbered = _numbered(benchmark, item_col, item_text_col, block_bytes)
+    numbered, blocks = _numbered(benchmark, item_col, item_text_col, block_bytes)
     kept = [c for c in keep if c not in (id_col, text_col)]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"kept_{c}") for c in kept], F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<int>>").alias("ranges"), F.array().cast("array<string>").alias("items"))
     arrow = pa.schema([("id", _arrow_type(docs, id_col)), ("text", pa.string()), *[(f"kept_{c}", _arrow_type(docs, c)) for c in kept], ("n_words", pa.int64()), ("ranges", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string()))])
     shape = out.schema
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes) or [None]:
-        items = [] if block is None else [(r[0], r[1]) for r in numbered.where(F.col("block") == block).select("item", "text").collect()]  # at most block_bytes and one item
+    for block in range(blocks):
+        items = [(r[0], r[1]) for r in numbered.where(F.col("block") == block).select("item", "text").collect()]  # some block_bytes
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, shared=shared):
             matcher = Matcher(shared.value, window)
-            for b in batches:
+            for b in (p for b in batches for p in parts(b, 1)):
                 n, ranges, found = [], [], []
                 for t, r, f in zip(b.column("text"), b.column("ranges").to_pylist(), b.column("items").to_pylist(), strict=True):
                     ws = words(t.as_py())
@@ -139,7 +128,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
                 cols = [b.column(k) for k in range(b.num_columns - 3)]
                 yield pa.RecordBatch.from_arrays([*[c.cast(f.type) for c, f in zip(cols, arrow, strict=False)], pa.array(n, pa.int64()), pa.array(ranges, arrow.field("ranges").type), pa.array(found, arrow.field("items").type)], schema=arrow)
 
-        out = out.mapInArrow(run, shape)
+        out = out.mapInArrow(tidy(run), shape)
+        if block < blocks - 1:
+            out = cut(out)
     return out
 
 

@@ -1,13 +1,14 @@
 """Language by compression: the language whose dictionary makes a text smallest.
 
-Each language's dictionary is raw content for zstandard: texts of that language from rows that aren't held out, SAMPLE_DOCS rows
-by a hash of their ids and SAMPLE_CHARS characters of each at most, DICT_BYTES in all. A whole text, lower-cased and
-with spaces for all but letters, is encoded with every dictionary in turn. The score is the share of the second smallest size that the smallest saves; a text whose score
-lies below MARGIN is marked as rejected, its language still named.
+Each language's dictionary is raw content for zstandard: whole texts of that language from rows that aren't held out,
+SAMPLE_DOCS rows at most, chosen and put in order by a hash of the row. A whole text, lower-cased and with spaces for all but
+letters, is encoded with every dictionary in turn; the window reaches over all of the dictionary. The score is the share of
+the second smallest size that the smallest saves; a text whose score lies below MARGIN is marked as rejected, its language
+still named.
 
 Defined results: null text, or text without a letter, gives ``und``, score 0, rejected; of equal sizes the language that sorts
 first wins; with one learned language every text with a letter gets it, score 1; with none, ``und``; repeated rows each give a
-row; rows with null ids aren't learned from; an empty table gives an empty result; only the named columns are read.
+row; rows with null ids aren't learned from; of very long texts all is read and compressed; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import _arrow_type
-from .common import hold_out
+from .common import hold_out, tidy
 
-SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES, LEVEL, MARGIN = 256, 4_000, 512 << 10, 3, 0.01
+SAMPLE_DOCS, LEVEL, MARGIN = 256, 3, 0.01
 
 SPARE = 4
 _OTHER = re.compile(r"[\W\d_]+")
@@ -43,15 +44,14 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not counts:
         return {}
     per = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col("lang")]
-    rows = rows.where(F.pmod(F.xxhash64("id"), per) < SPARE * SAMPLE_DOCS)
-    first = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    ids = [r[0] for r in rows.select("id", "lang").withColumn("n", first).where(F.col("n") <= SAMPLE_DOCS).collect()]
-    out: dict[str, bytes] = {}
-    for lang, text in sorted(map(tuple, rows.where(F.col("id").isin(ids)).select("lang", F.substring("text", 1, SAMPLE_CHARS)).collect())):
-        own = out.setdefault(lang, b"")
-        if len(own) < DICT_BYTES:
-            out[lang] = (own + letters(text).encode() + b"\n")[:DICT_BYTES]
-    return out
+    place = F.xxhash64("id", "text")
+    rows = rows.where(F.pmod(place, per) < SPARE * SAMPLE_DOCS)
+    first = F.row_number().over(W.partitionBy("lang").orderBy(place, "id", "text"))
+    out: dict[str, list[bytes]] = {}
+    chosen = rows.select("lang", "text", first.alias("n")).where(F.col("n") <= SAMPLE_DOCS)
+    for lang, text, _ in sorted(chosen.collect(), key=lambda r: (r[0], r[2])):  # SAMPLE_DOCS rows for each language at most
+        out.setdefault(lang, []).append(letters(text).encode())
+    return {lang: b"\n".join(texts) for lang, texts in out.items()}
 
 
 class Sizer:
@@ -59,7 +59,8 @@ class Sizer:
         self.by = []
         for lang, raw in sorted(dictionaries.items()):
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
+            window = max(10, min(27, len(raw).bit_length() + 1))
+            d.precompute_compress(compression_params=zstandard.ZstdCompressionParameters.from_level(LEVEL, dict_size=len(raw), window_log=window))
             self.by.append((lang, zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False)))
 
     def name(self, text: str | None) -> tuple[str, float]:
@@ -84,7 +85,7 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([b.column(0).cast(arrow.field(0).type), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[1] < MARGIN for g in got], pa.bool_())], schema=arrow)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double, rejected boolean")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, lang_pred string, score double, rejected boolean")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -6,13 +6,15 @@ file, one more than documents) and ``NAME.doc`` (64-bit document ids). A task wr
 so that of repeated or speculative attempts only the reported files count. The base of each partition, the number of ids in
 all partitions before it, comes from prefix sums over one row per partition.
 
-Defined results: null text counts as empty (the end id alone); rows of equal id each count, in the order of their texts; a
-null id sorts first and reads back as null; an empty table writes no files and gives an empty result; only the named columns
-are read.
+Defined results: null text counts as empty (the end id alone); rows of equal id each count, in the order of a hash of their
+texts, then of the texts, so that they spread over partitions too; a null id sorts first and reads back as null (the files mark it
+by the least 64-bit integer, which is refused as an id); an empty table writes no files and gives an empty result; only the named
+columns are read; ids are integers.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -25,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, narrow
+from .common import ensure_checkpoint_dir, holds, integers, narrow, parts, tidy
 
 KEPT_PIECES = 1_000_000
 NO_ID = -(2**63)
@@ -50,6 +52,8 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        if '"Lowercase"' not in json.dumps(json.loads(self.library.to_str())["normalizer"]):
+            raise ValueError(f"{path}: only vocabularies that lower-case their texts can be read piece by piece")
         self.library.no_truncation()
         self.library.no_padding()
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 2**16 else 4
@@ -79,7 +83,7 @@ class LibraryEncoder:
         return [b"".join(map(self.known.__getitem__, ps)) for ps in cuts]
 
 
-_encoders: dict[str, LibraryEncoder] = {}
+_encoders: dict[str, LibraryEncoder] = holds("token_files")
 
 
 def library_encoder(path: str) -> LibraryEncoder:
@@ -108,13 +112,15 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col:
             if out is None:
                 out = [store.open_output_stream(f"{at}/{name}.{x}") for x in ("ids", "off", "doc")]
                 out[1].write(np.zeros(1, "<i8").tobytes())
-            ids, texts = b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()
-            for i in range(0, len(texts), 2_000):
-                coded = [x + end for x in e.encode_all([t or b"" for t in texts[i : i + 2_000]])]
+            for p in parts(b, 1):
+                ids = p.column(0).to_pylist()
+                if NO_ID in ids:
+                    raise ValueError(f"{NO_ID} can't be an id")
+                coded = [x + end for x in e.encode_all([t or b"" for t in p.column(1).cast(pa.binary()).to_pylist()])]
                 ends = tokens + np.cumsum([len(x) // e.width for x in coded])
                 out[0].write(b"".join(coded))
                 out[1].write(ends.astype("<i8").tobytes())
-                out[2].write(np.array([NO_ID if x is None else x for x in ids[i : i + 2_000]], "<i8").tobytes())
+                out[2].write(np.array([NO_ID if x is None else x for x in ids], "<i8").tobytes())
                 docs_seen, tokens = docs_seen + len(coded), int(ends[-1])
         if out:
             for f in out:
@@ -124,15 +130,15 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col:
     store, at = _open(folder)
     store.create_dir(at, recursive=True)
     spark = docs.sparkSession
-    dealt = narrow(docs, id=id_col, text=text_col).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "id").sortWithinPartitions("id", "text")
-    parts = sorted((r.asDict() for r in dealt.mapInArrow(run, MANIFEST).collect()), key=lambda p: p["part"])  # a row for each partition
+    dealt = narrow(docs, id=id_col, text=text_col).withColumn("h", F.xxhash64("text")).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "id", "h").sortWithinPartitions("id", "h", "text").drop("h")
+    files = sorted((r.asDict() for r in dealt.mapInArrow(tidy(run, "token_files"), MANIFEST).collect()), key=lambda p: p["part"])  # a row for each partition
     base = 0
-    for p in parts:
+    for p in files:
         p["base"], base = base, base + p["tokens"]
-    return parts
+    return files
 
 
-def read(spark: SparkSession, folder: str, parts: list[dict], id_name: str = "doc_id") -> DataFrame:
+def read(spark: SparkSession, folder: str, files: list[dict], id_name: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document, from the memory-mapped files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,10 +160,10 @@ def read(spark: SparkSession, folder: str, parts: list[dict], id_name: str = "do
                     own = np.array(doc[i : i + 10_000])
                     yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64(), mask=own == NO_ID), pa.array(p["base"] + cuts[:-1], pa.int64()), pa.array(np.diff(cuts), pa.int64()), pa.array(crc, pa.int64())], names=[id_name, "start", "n_tokens", "ids_crc32"])
 
-    rows = spark.createDataFrame([(p["part"], p["name"], p["docs"], p["tokens"], p["width"], p["base"]) for p in parts], f"{MANIFEST}, base long")
-    if parts:
-        rows = rows.repartition(len(parts))
-    return rows.mapInArrow(run, f"{id_name} long, start long, n_tokens long, ids_crc32 long")
+    rows = spark.createDataFrame([(p["part"], p["name"], p["docs"], p["tokens"], p["width"], p["base"]) for p in files], f"{MANIFEST}, base long")
+    if files:
+        rows = rows.repartition(len(files))
+    return rows.mapInArrow(tidy(run, "token_files"), f"{id_name} long, start long, n_tokens long, ids_crc32 long")
 
 
 def fresh_folder(spark: SparkSession) -> str:
@@ -167,5 +173,5 @@ def fresh_folder(spark: SparkSession) -> str:
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the files and describe each document from what they hold."""
     folder = folder or fresh_folder(docs.sparkSession)
-    cast = docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
+    cast = docs.select(integers(docs, id_col).alias(id_col), text_col)
     return read(docs.sparkSession, folder, write(cast, tokenizer, folder, end_id, id_col, text_col), id_col)

@@ -72,3 +72,13 @@ def test_ids_dont_depend_on_what_was_encoded_before():
         for t in order:
             assert e.encode(t) == want[t], t
             assert c.count(t) == len(want[t]), t
+
+
+def test_token_files_refuse_what_they_cant_hold(spark):
+    with pytest.raises(ValueError):
+        token_files.LibraryEncoder(P.path("byte_bpe_50k.json"))
+    with pytest.raises(Exception, match="can't be an id"):
+        token_files.round_trip(spark.createDataFrame([(-(2**63), "a")], "doc_id long, text string"), P.path("word_bpe_49k.json"))
+    rows = [(5, t) for t in ("b", "a", "a", None)]
+    got = token_files.round_trip(spark.createDataFrame(rows, "doc_id long, text string"), P.path("word_bpe_49k.json")).collect()
+    assert sorted(r.start for r in got) == [0, *sorted(r.start + r.n_tokens for r in got)[:-1]] and len(got) == 4

@@ -39,6 +39,8 @@ PATTERNS = {
 # Words near a candidate that speak for it.
 NEAR = {"secret": "token|secret|passw|pwd|api|auth|key|bearer", "number": "card|acc|iban|visa|ssn|passport|id", "contact": "call|tel|phone|fax|mail|contact|write"}
 EXAMPLES, TREES, RATE = 1600, 24, 0.3
+#: Items of a list that one fold goes through.
+BLOCK = 128
 
 
 def _none() -> Column:
@@ -52,30 +54,55 @@ def _quick(text: Column, kind: str) -> Column:
         "ip": text.rlike(r"[0-9]\.[0-9]"),
         "card": text.rlike(r"[0-9](?:[\x20-]?[0-9]){13}"),
         "phone": text.contains("+"),
-        "secret": text.rlike("[0-9]"),
+        "secret": text.rlike("[A-Za-z0-9+/_=-]{16}") & text.rlike("[0-9]"),
         "number": text.rlike(r"[0-9](?:[\x20.-]?[0-9]){8}"),
-        "handle": text.rlike(r"(?:[(\[{]at[)\]}]| at ) ?[A-Za-z0-9-]+ ?(?:\.|[(\[{]dot[)\]}]| dot ) ?[A-Za-z]{2}"),
+        "handle": (text.contains("at)") | text.contains("at]") | text.contains("at}") | text.contains(" at ")) & text.rlike(r"(?:[(\[{]at[)\]}]| at ) ?[A-Za-z0-9-]+ ?(?:\.|[(\[{]dot[)\]}]| dot ) ?[A-Za-z]{2}"),
     }[kind]
 
 
 def _zipped(text: Column, kind: str) -> Column:
     """(value, before, after) of each match; before and after are the text between matches."""
-    pattern = F.lit(PATTERNS[kind])
-    between = F.split(text, PATTERNS[kind], -1)
-    return F.transform(F.arrays_zip(F.regexp_extract_all(text, pattern, 0).alias("value"), F.slice(between, 1, F.size(between) - 1).alias("before"), F.slice(between, 2, F.size(between) - 1).alias("after")), lambda x: F.struct(x["value"].alias("value"), x["before"].alias("before"), x["after"].alias("after")))
+    found, parts = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), 0), F.split(text, PATTERNS[kind], -1)
+
+    def zipped(between: Column) -> Column:
+        n = F.size(between) - 1
+        rows = F.arrays_zip(found.alias("value"), F.slice(between, 1, n).alias("before"), F.slice(between, 2, n).alias("after"))
+        return F.transform(rows, lambda x: F.struct(x["value"].alias("value"), x["before"].alias("before"), x["after"].alias("after")))
+
+    return F.flatten(F.transform(F.array(parts), zipped))  # the text is parted once
+
+
+def scan(items: Column, zero: Column, value, join) -> Column:
+    """For each item, join of zero and the values of all items before it (join is associative).
+
+    A fold that appends copies what it has made; done in blocks of BLOCK items whose joined values are scanned first, the cost
+    stays close to the number of items.
+    """
+    blocks = F.transform(F.sequence(F.lit(0), F.size(items).cast("int"), F.lit(BLOCK)), lambda i: F.slice(items, i + 1, F.lit(BLOCK)))
+
+    def within(block: Column, base: Column) -> Column:
+        return F.aggregate(block, F.struct(base.alias("at"), F.array_repeat(base, 0).alias("out")), lambda acc, x: F.struct(join(acc["at"], value(x)).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"])
+
+    whole = F.transform(blocks, lambda block: F.aggregate(block, zero, lambda acc, x: join(acc, value(x))))
+    bases = F.aggregate(whole, F.struct(zero.alias("at"), F.array_repeat(zero, 0).alias("out")), lambda acc, x: F.struct(join(acc["at"], x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"])
+    return F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), bases.alias("base")), lambda p: within(p["block"], p["base"])))
 
 
 def matches(text: Column, kind: str) -> Column:
     """array<(start, end, value, before, after)>: before has 24 characters at most, after 4."""
-    first = F.struct(F.lit(0).alias("at"), _none().alias("out"))
 
-    def step(acc: Column, m: Column) -> Column:
-        start = acc["at"] + F.length(m["before"])
-        end = start + F.length(m["value"])
-        own = F.struct(start.alias("start"), end.alias("end"), m["value"].alias("value"), F.right(m["before"], F.lit(24)).alias("before"), F.left(m["after"], F.lit(4)).alias("after"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], own).alias("out"))
+    def placed(found: Column) -> Column:
+        ends = scan(found, F.lit(0), lambda m: F.length(m["before"]) + F.length(m["value"]), lambda x, y: x + y)
+
+        def one(p: Column) -> Column:
+            m = p["m"]
+            start = p["at"] + F.length(m["before"])
+            return F.struct(start.alias("start"), (start + F.length(m["value"])).alias("end"), m["value"].alias("value"), F.right(m["before"], F.lit(24)).alias("before"), F.left(m["after"], F.lit(4)).alias("after"))
 
-    return F.when(_quick(text, kind), F.aggregate(_zipped(text, kind), first, step, lambda acc: acc["out"])).otherwise(_none())
+        return F.transform(F.arrays_zip(found.alias("m"), ends.alias("at")), one)
+
+    # the matches once, what is made of them over them
+    return F.when(_quick(text, kind), F.flatten(F.transform(F.array(_zipped(text, kind)), placed))).otherwise(_none())
 
 
 def _digits(value: Column) -> Column:
@@ -253,13 +280,33 @@ def _decided(docs: DataFrame) -> DataFrame:
     found = docs.select("key", "text", *[_selected(F.col("text"), k, c).alias(k) for k in KINDS])
     ranked = found.select("key", "text", *[F.transform(F.col(k), _ranked(k)).alias(k) for k in KINDS])
     both = ranked.select("key", "text", F.array_sort(F.concat(*BASE)).alias("base"), F.array_sort(F.concat(*ADDED)).alias("added"))
-    over = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    both = both.withColumn("added", F.filter("added", lambda a: ~F.exists(F.col("base"), lambda b: over(a, b))))
-    ahead = lambda b, a: (b["start"] < a["start"]) | ((b["start"] == a["start"]) & ((b["end"] > a["end"]) | ((b["end"] == a["end"]) & (b["rank"] < a["rank"]))))
-    both = both.withColumn("added", F.filter("added", lambda a: ~F.exists(F.col("added"), lambda b: over(a, b) & ahead(b, a))))
+    both = both.withColumn("added", F.when(F.size("added") > 0, _apart(F.col("base"), F.col("added"))).otherwise(F.col("added")))
     return both.select("key", "text", "base", F.array_sort(F.concat("base", "added")).alias("spans"))
 
 
+def _apart(base: Column, added: Column) -> Column:
+    """The added spans that overlap no base span and, of those left, no other that begins first (or there and is longer, or ranks lower)."""
+    top, most = F.lit(0), lambda x, y: F.greatest(x, y)
+
+    def free(both: Column) -> Column:
+        """both: all spans by start, base ones first. Reach of the base ones before each, start of the next one after it."""
+        back = F.reverse(both)
+        reach = scan(both, top, lambda s: F.when(s["added"], 0).otherwise(s["end"]), most)
+        coming = F.reverse(scan(back, F.lit(2**31 - 1), lambda s: F.when(s["added"], 2**31 - 1).otherwise(s["start"]), lambda x, y: F.least(x, y)))
+        clear = F.filter(F.arrays_zip(both.alias("s"), reach.alias("reach"), coming.alias("coming")), lambda p: p["s"]["added"] & (p["reach"] <= p["s"]["start"]) & (p["coming"] >= p["s"]["end"]))
+        return F.transform(clear, lambda p: p["s"])
+
+    def first(spans: Column) -> Column:
+        reach = scan(spans, top, lambda s: s["end"], most)
+        return F.transform(F.filter(F.arrays_zip(spans.alias("s"), reach.alias("reach")), lambda p: p["reach"] <= p["s"]["start"]), lambda p: F.struct(*[p["s"][c].alias(c) for c in ("start", "rank", "kind", "end")]))
+
+    def marked(spans: Column, added: bool) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(added).alias("added"), (-s["end"]).alias("far"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))
+
+    once = lambda make, x: F.flatten(F.transform(F.array(x), make))
+    return once(first, once(free, F.array_sort(F.concat(marked(base, False), marked(added, True)))))
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans): array<(start, rank, kind, end)> of base and added spans by start, then kind."""
     rows = docs.select(F.col(id_col).alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))
@@ -271,10 +318,11 @@ def _shown(spans: str) -> Column:
 
 
 def report(docs: DataFrame, **names) -> DataFrame:
-    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every document."""
+    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, n_number, n_handle, n_spans) of every document."""
     f = find(docs, **names)
-    counts = [F.size(F.filter("base", _is(k))).cast("long").alias(f"n_{k}") for k in BASE]
-    return f.select("id", *counts, F.sha2(F.encode(_shown("base"), "UTF-8"), 256).alias("base_sha256"), _shown("spans").alias("spans"))
+    counts = {k: F.size(F.filter("spans", _is(k))).cast("long").alias(f"n_{k}") for k in KINDS}
+    shown = F.sha2(F.encode(_shown("base"), "UTF-8"), 256).alias("base_sha256"), _shown("spans").alias("spans")
+    return f.select("id", *[counts[k] for k in BASE], *shown, *[counts[k] for k in ADDED], F.size("spans").cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:

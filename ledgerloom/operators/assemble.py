@@ -20,6 +20,18 @@ def truth_pack(long_facts: DataFrame, derived: DataFrame, gates: DataFrame) -> D
     return j.select("ticker", F.to_json(F.struct(F.lit("1.0").alias("schema_version"), "ticker", "periods", "derived", "quality")).alias("pack"))
 
 
+def extraction_result(long_facts: DataFrame) -> DataFrame:
+    """(ticker, payload): what was extracted from an issuer's filings as JSON, periods and fields in order of their names."""
+    year, part = F.right("period_key", F.lit(4)), F.left("period_key", F.lit(2))
+    month_end = F.when(part == "Q1", "-03-31").when(part.isin("Q2", "H1"), "-06-30").when(part == "Q3", "-09-30").otherwise("-12-31")
+    kind = F.when(part == "FY", "anual").when(part.startswith("Q"), "trimestral").when(part.startswith("H"), "semestral").otherwise("unknown")
+    fields = F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value"))))
+    p = long_facts.groupBy("ticker", "period_key").agg(fields.alias("fields")).withColumns({"fecha_fin": F.concat(year, month_end), "tipo_periodo": kind})
+    one = F.struct("period_key", F.struct("fecha_fin", "tipo_periodo", "fields").alias("p"))
+    periods = p.groupBy("ticker").agg(F.map_from_entries(F.array_sort(F.collect_list(one), _by_key)).alias("periods"))
+    return periods.select("ticker", F.to_json(F.struct("ticker", "periods")).alias("payload"))
+
+
 def line_pointer(docs: DataFrame, needles: DataFrame) -> DataFrame:
     """(id, needle, line, col): where a value first stands in its text, both from 1; null if it doesn't."""
     j = needles.join(docs, "id")

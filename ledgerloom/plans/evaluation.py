@@ -111,6 +111,15 @@ def result_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.signature(d.withColumns({c: F.expr(_WHOLE.format(c)).cast("string") for c in ("actual", "expected")}), plain=("actual", "expected"))
 
 
+@query(f"""with {A.LONG_SQL}, v as (select ticker, period_key, field, {_WHOLE.format('value')} as v from long_facts),
+p as (select ticker, period_key, '{{"fecha_fin":"' || right(period_key, 4) || case left(period_key, 2) when 'Q1' then '-03-31' when 'Q2' then '-06-30' when 'H1' then '-06-30' when 'Q3' then '-09-30' else '-12-31' end || '","tipo_periodo":"' || case left(period_key, 1) when 'F' then 'anual' when 'Q' then 'trimestral' else 'semestral' end
+  || '","fields":{{' || string_agg('"' || field || '":' || v, ',' order by field) || '}}}}' as j from v group by ticker, period_key)
+select ticker, '{{"ticker":"' || ticker || '","periods":{{' || string_agg('"' || period_key || '":' || j, ',' order by period_key) || '}}}}' as payload from p group by ticker""")
+def extraction_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values as whole thousandths, so that the text is the same in every engine."""
+    return S.extraction_result(A.long_facts(spark, sf_dir).select("ticker", "period_key", "field", F.expr(_WHOLE.format("value")).alias("value")))
+
+
 @query()
 def truth_pack_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.truth_pack(A.long_facts(spark, sf_dir), finance._derived(spark, sf_dir), finance._gates(spark, sf_dir))

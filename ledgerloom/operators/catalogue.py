@@ -11,7 +11,7 @@ from ..functions import text as T
 # Least annual and total filings by class of issuer.
 THRESHOLDS = {"Domestic_US": (3, 10), "FPI_ADR": (2, 5), "NonUS_Local": (1, 1)}
 # How many candidates of each type stay, and of all.
-PER_TYPE, IN_ALL = {"ANNUAL_REPORT": 4, "INTERIM_REPORT": 4, "REGULATORY_FILING": 4, "IR_NEWS": 2, "OTHER": 1}, 12
+PER_TYPE, OTHER_TYPES, IN_ALL = {"ANNUAL_REPORT": 4, "INTERIM_REPORT": 4, "REGULATORY_FILING": 4, "IR_NEWS": 3}, 2, 12
 
 
 def union(*sources: DataFrame) -> DataFrame:
@@ -23,10 +23,10 @@ def union(*sources: DataFrame) -> DataFrame:
 
 def best_per(sources: DataFrame, key: Column, *order: Column) -> DataFrame:
     """One row per non-null key, the first by order; rows without a key all stay."""
-    keyed = sources.withColumn("_key", key)
     row = F.struct(*[c for c in sources.columns])
-    won = keyed.where("_key is not null").groupBy("_key").agg(F.min_by(row, F.struct(*order)).alias("r")).select("r.*")
-    return won.unionByName(keyed.where("_key is null").drop("_key"))
+    # rows without a key are groups of their own, told by all they hold, and come out as often as they came in
+    grouped = sources.groupBy(key.alias("_key"), F.when(key.isNull(), row).alias("_own")).agg(F.min_by(row, F.struct(*order)).alias("_row"), F.count("*").cast("int").alias("_n"))
+    return grouped.select(F.explode(F.array_repeat("_row", F.when(F.col("_key").isNull(), F.col("_n")).otherwise(1))).alias("r")).select("r.*")
 
 
 def dedup_content(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -40,10 +40,14 @@ def coverage_map(sources: DataFrame) -> DataFrame:
     return sources.groupBy("ticker", "category").agg(F.min("source_id").alias("source_id"), F.count("*").alias("n"))
 
 
-def top_candidates(candidates: DataFrame, per_type: int, total: int) -> DataFrame:
-    """Best candidates by score and date: per_type of each type of an issuer, total of an issuer."""
+def top_candidates(candidates: DataFrame, per_type: dict[str, int] = PER_TYPE, other: int = OTHER_TYPES, total: int = IN_ALL) -> DataFrame:
+    """Best candidates by score and date: as many of each type of an issuer as per_type says, total of an issuer."""
     by = [F.desc("score"), F.desc("date"), F.col("candidate_id")]
-    some = candidates.withColumn("n", F.row_number().over(W.partitionBy("ticker", "type").orderBy(*by))).where(F.col("n") <= per_type)
+    most = F.when(F.lit(False), 0)
+    for kind, n in per_type.items():
+        most = most.when(F.col("type") == kind, n)
+    highest = max([other, *per_type.values()])  # lets the window stop early; the exact limit follows
+    some = candidates.withColumn("n", F.row_number().over(W.partitionBy("ticker", "type").orderBy(*by))).where(F.col("n") <= highest).where(F.col("n") <= most.otherwise(other))
     return some.withColumn("n", F.row_number().over(W.partitionBy("ticker").orderBy(*by))).where(F.col("n") <= total).select("ticker", "type", "candidate_id", "score", F.col("n").alias("place"))
 
 

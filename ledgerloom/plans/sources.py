@@ -42,13 +42,13 @@ def coverage_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.coverage_map(_sources(spark, sf_dir))
 
 
-@query("""with c as (select source as ticker, lang as type, doc_id as candidate_id, n_chars % 17 as score, doc_id % 29 as date from documents),
-t as (select * from c qualify row_number() over (partition by ticker, type order by score desc, date desc, candidate_id) <= 4)
+@query("""with c as (select source as ticker, ['ANNUAL_REPORT', 'INTERIM_REPORT', 'REGULATORY_FILING', 'IR_NEWS', 'OTHER'][cast(doc_id % 5 + 1 as int)] as type, doc_id as candidate_id, n_chars % 17 as score, doc_id % 29 as date from documents),
+t as (select * from c qualify row_number() over (partition by ticker, type order by score desc, date desc, candidate_id) <= case type when 'IR_NEWS' then 3 when 'OTHER' then 2 else 4 end)
 select ticker, type, candidate_id, score, row_number() over (partition by ticker order by score desc, date desc, candidate_id) as place from t qualify place <= 12""")
 def topk_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.element_at(F.array(*map(F.lit, (*C.PER_TYPE, "OTHER"))), (F.col("doc_id") % 5 + 1).cast("int"))
     d = table(spark, sf_dir, "documents")
-    c = d.select(F.col("source").alias("ticker"), F.col("lang").alias("type"), F.col("doc_id").alias("candidate_id"), (F.col("n_chars") % 17).alias("score"), (F.col("doc_id") % 29).alias("date"))
-    return C.top_candidates(c, 4, C.IN_ALL)
+    return C.top_candidates(d.select(F.col("source").alias("ticker"), kind.alias("type"), F.col("doc_id").alias("candidate_id"), (F.col("n_chars") % 17).alias("score"), (F.col("doc_id") % 29).alias("date")))
 
 
 _ISS = "with i as (select 'N' || c_nationkey as ticker, case when c_nationkey % 3 = 0 then 'sec' when c_nationkey % 3 = 1 then 'eu' else 'asx' end as source_hint, case when c_nationkey % 2 = 0 then '10-K' else '20-F' end as annual_form, case when c_nationkey % 4 = 0 then '1' end as cik, count(*) filter (c_acctbal > 9000) as annual, count(*) filter (c_acctbal > 7500) as total from customer group by c_nationkey), k as (select *, case when source_hint = 'sec' and annual_form = '10-K' then 'Domestic_US' when source_hint = 'sec' or coalesce(cik, '') <> '' then 'FPI_ADR' else 'NonUS_Local' end as issuer_class from i)"

@@ -3,7 +3,6 @@ import random
 import zstandard
 
 from ledgerloom.llm import langid
-from ledgerloom.llm.common import hold_out  # noqa: F401
 
 
 def test_samples_are_whole_texts_chosen_by_hash(spark):

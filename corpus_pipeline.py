@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, decontam, neardup, pii, toxicity
-from ledgerloom.llm.common import cut, ensure_checkpoint_dir, table
+from ledgerloom.llm.common import cut, ensure_checkpoint_dir, remove, table
 from ledgerloom.llm.queries import tokenizer
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -79,10 +79,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each one's rows are written and read again."""
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents; each one's rows are written and read again. A stage's rows go when the next one's are written;
+    those of the last stay, as the result reads them."""
+    folder, before = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}", None
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before is not None:
+            remove(spark, before)
+        before = f"{folder}/{name}"
     return docs

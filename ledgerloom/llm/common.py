@@ -108,6 +108,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark reaches."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def hold_out(id_col):
     """crc32(id as text) mod 3 = 1."""
     return F.crc32(F.encode(id_col.cast("string"), "UTF-8")) % 3 == 1

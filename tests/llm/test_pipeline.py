@@ -1,3 +1,4 @@
+import os
 import re
 
 import corpus_pipeline as cp
@@ -25,4 +26,7 @@ def test_each_stage_takes_effect(spark):
 
 
 def test_run_gives_the_rows_of_the_stages(spark):
-    assert cp.run(spark, SF).count() > 100
+    got = cp.run(spark, SF)
+    assert got.count() > 100
+    path = got.inputFiles()[0].removeprefix("file:").rsplit("/", 2)[0]
+    assert os.listdir("/" + path.lstrip("/")) == ["bpe"]

@@ -4,10 +4,11 @@ A character trigram model is counted over all texts. Words that look disguised (
 down, letters spaced out or parted by signs) become a lattice: each character may stand for letters at a cost, be dropped, or
 fold into the one before it. Viterbi decoding finds the cheapest reading under the model. Letters spaced out have lost their
 word borders: the model places them, and the words of every placing close to the cheapest count. The restored words are scored by
-logistic regression over the words and word beginnings that tell the labels apart best.
+logistic regression over all words and word beginnings that tell the labels apart: held by LEAST_DOCS rows of the sample or more,
+with a share of toxic rows LEAST_SPREAD standard deviations or more from what chance gives.
 
 Labels come only from rows that aren't held out. The classifier is fitted on at most SAMPLE labelled rows, taken by a hash of
-their ids; FEATURES of the sample's words and beginnings are kept. Corpus counts and scoring cover all rows and whole texts.
+their ids. Corpus counts and scoring cover all rows and whole texts.
 
 Defined results: null and empty texts get the score of no evidence; repeated rows each give a row; of repeated labels the
 larger counts, null labels don't; without labels of both kinds every score is the share of toxic labels (0 if none); an empty
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -27,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _arrow_type
-from .common import cut, hold_out
+from .common import cut, hold_out, parts, tidy
 
-SAMPLE, FEATURES, LEAST_DOCS, THRESHOLD = 20_000, 4_000, 4, 0.7
-KEPT_TOKENS = 250_000
+SAMPLE, LEAST_DOCS, LEAST_SPREAD, THRESHOLD = 20_000, 4, 2.0, 0.7
+#: Tokens whose readings a worker keeps: while scoring (those of most tokens are empty) and while learning (words and beginnings).
+KEPT_TOKENS, KEPT_LEARNED = 250_000, 80_000
 SYMBOLS = 96
 
 # What signs and digits can stand for.
@@ -81,8 +84,8 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
 
     out = np.zeros(SYMBOLS**3, np.int64)
-    for r in docs.select(text_col).mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        out[r[0]] = r[1]
+    sums = docs.select(text_col).mapInArrow(tidy(run), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # as many rows as trigrams
+    out[sums.column(0).to_numpy()] = sums.column(1).to_numpy()
     return out.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
 
 
@@ -196,13 +199,13 @@ def beginnings(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) > k)] if word else []
 
 
-def readings(texts: list[str], restorer: Restorer, cache: dict, make) -> Iterator[set]:
-    """For each text the set of what make() gives for its restored words. cache: by raw token."""
+def readings(texts: list[str], restorer: Restorer, cache: dict, make, kept: int = KEPT_TOKENS) -> Iterator[set]:
+    """For each text the set of what make() gives for its restored words. cache: by raw token, kept entries at most."""
     for t in texts:
         t = t.lower()
         tokens = set(t.split())
         if new := tokens.difference(cache):
-            if len(cache) + len(new) > KEPT_TOKENS:
+            if len(cache) + len(new) > kept:
                 cache.clear()
                 new = tokens
             for w in new:
@@ -220,11 +223,12 @@ class Classifier:
         self.bias, self.weights, self.model = bias, weights, model
 
 
-def _fit(rows: list[tuple[list[int], int]], n: int) -> tuple[float, np.ndarray]:
-    """Logistic regression with a quadratic penalty, by accelerated gradient steps."""
-    y = np.array([r[1] for r in rows], float)
-    of = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    at = np.array([f for r in rows for f in r[0]], np.int64)
+def _fit(rows: list[np.ndarray], y: np.ndarray, n: int) -> tuple[float, np.ndarray]:
+    """Logistic regression with a quadratic penalty, by accelerated gradient steps, over rows of feature numbers."""
+    order = np.lexsort((np.array([zlib.crc32(r.tobytes()) for r in rows]), y))  # sums don't depend on the order of the rows
+    rows, y = [rows[k] for k in order], (y[order] != 0).astype(float)
+    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    at = np.concatenate(rows) if n else np.zeros(0, np.int32)
     share = min(max(y.mean(), 1e-3), 1 - 1e-3)
     w, b, penalty = np.zeros(n), math.log(share / (1 - share)), 2e-4
     m, v, mb, vb = np.zeros(n), np.zeros(n), 0.0, 0.0
@@ -250,11 +254,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, cache = Restorer(model), {}
-        for b in batches:
-            found = [sorted(s) for s in readings([t or "" for t in b.column(0).to_pylist()], restorer, cache, beginnings)]
+        for b in (p for b in batches for p in parts(b, 0)):
+            found = [sorted(s) for s in readings([t or "" for t in b.column(0).to_pylist()], restorer, cache, beginnings, KEPT_LEARNED)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), b.column(1)], names=["features", "y"])
 
-    seen = cut(rows.mapInArrow(words, "features array<string>, y int"))
+    seen = cut(rows.mapInArrow(tidy(words), "features array<string>, y int"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: dict[str, list[int]] = defaultdict(lambda: [0, 0])
@@ -268,19 +272,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     if not clean or not toxic:
         share = min(max(toxic / max(1, clean + toxic), 1e-9), 1 - 1e-9)
         return Classifier(math.log(share / (1 - share)), {}, model)
-    counts = seen.mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("clean") + F.col("toxic") >= LEAST_DOCS)
-    # how far the share of toxic rows with the feature lies from that without it, in standard deviations
+    counts = seen.mapInArrow(tidy(count), "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("clean") + F.col("toxic") >= LEAST_DOCS)
     n = F.col("clean") + F.col("toxic")
     expected = n * (toxic / (clean + toxic))
-    spread = (F.col("toxic") - expected) / F.sqrt(expected * (clean / (clean + toxic)) + 1)
-    best = counts.select("f", F.abs(spread).alias("s")).orderBy(F.desc("s"), "f").limit(FEATURES).collect()
-    place = {r[0]: k for k, r in enumerate(best)}
+    spread = (F.col("toxic") - expected) / F.sqrt(expected * (clean / (clean + toxic)))
+    place = {r[0]: k for k, r in enumerate(counts.where(F.abs(spread) >= LEAST_SPREAD).select("f").orderBy("f").collect())}  # of at most sample rows
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([[place[f] for f in fs if f in place] for fs in b.column(0).to_pylist()], pa.list_(pa.int32())), b.column(1)], names=["at", "y"])
+            at = [np.array([place[f] for f in fs if f in place], "<i4").tobytes() for fs in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.binary()), b.column(1)], names=["at", "y"])
 
-    bias, w = _fit([(r[0], r[1]) for r in seen.mapInArrow(vectors, "at array<int>, y int").collect()], len(place))  # at most sample rows
+    rows = seen.mapInArrow(tidy(vectors), "at binary, y int").toArrow()  # at most sample rows
+    bias, w = _fit([np.frombuffer(x, "<i4") for x in rows.column(0).to_pylist()], rows.column(1).to_numpy(), len(place))
     return Classifier(bias, {f: float(w[k]) for f, k in place.items()}, model)
 
 
@@ -296,7 +300,7 @@ def score(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_
         restorer, cache = Restorer(c.model), {}
         weights = c.weights
         known = lambda w: tuple(f for f in beginnings(w) if f in weights)
-        for b in batches:
+        for b in (p for b in batches for p in parts(b, 1)):
             out = []
             for found in readings([t or "" for t in b.column(1).to_pylist()], restorer, cache, known):
                 z = c.bias + math.fsum(weights[f] for f in found)
@@ -304,7 +308,7 @@ def score(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([*[x.cast(f.type) for x, f in zip(b.columns, arrow, strict=False)], pa.array(out, pa.float64())], schema=arrow)
 
     sql = ", ".join(f"c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(names))
-    out = docs.select(*[docs[c].alias(f"c{k}") for k, c in enumerate(names)]).mapInArrow(run, f"{sql}, score double")
+    out = docs.select(*[docs[c].alias(f"c{k}") for k, c in enumerate(names)]).mapInArrow(tidy(run), f"{sql}, score double")
     return out.select(F.col("c0").alias("id"), "score", *[F.col(f"c{k}").alias(c) for k, c in enumerate(names) if c == text_col and c in keep or c in kept])
 
 

@@ -23,7 +23,7 @@ from . import bytebpe
 from .common import arrow_map, holds, narrow, parts, tidy
 
 #: What a worker keeps of the pieces it has met (bytes, some 160 more for each), and the characters of the texts whose new words merge together.
-KEPT_BYTES, PIECE_BYTES, GROUP_CHARS = 56_000_000, 160, 1_000_000
+KEPT_BYTES, PIECE_BYTES, GROUP_CHARS = 56_000_000, 160, 2_000_000
 
 
 def _search(bpe: bytebpe.ByteBPE, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

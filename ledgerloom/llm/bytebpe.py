@@ -71,8 +71,15 @@ class ByteBPE:
 
 
 EXACT_CUTS = re.compile(r"(?<=\S)(?= )")
-#: A space beside other white space, or at either end: cuts before all spaces may part a word.
-_RUNS = re.compile(r"\s |^ | $| \s")
+_BESIDE = re.compile(r"[^\S ] | [^\S ]")
+
+
+def _runs(text: str) -> bool:
+    """Whether a space stands beside white space or at either end: cuts before all spaces may part a word then.
+
+    A printable text has no white space but spaces.
+    """
+    return "  " in text or text[:1] == " " or text[-1:] == " " or (not text.isprintable() and _BESIDE.search(text) is not None)
 
 
 def pieces(text: str, known: dict, special: regex.Pattern | None = None) -> tuple[list[str], set[str]]:
@@ -83,7 +90,7 @@ def pieces(text: str, known: dict, special: regex.Pattern | None = None) -> tupl
     Texts in which a space stands beside other white space or that hold a special string are cut where this is so; others
     before every space, which comes to the same. Only the text decides how it is cut, not what is known.
     """
-    if _RUNS.search(text) or (special is not None and special.search(text)):
+    if _runs(text) or (special is not None and special.search(text)):
         out = [p for p in EXACT_CUTS.split(text) if p]
     else:
         parts = text.split(" ")

@@ -112,7 +112,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, id_col:
             if out is None:
                 out = [store.open_output_stream(f"{at}/{name}.{x}") for x in ("ids", "off", "doc")]
                 out[1].write(np.zeros(1, "<i8").tobytes())
-            for p in parts(b, 1):
+            for p in parts(b, 1, 4 << 20):
                 ids = p.column(0).to_pylist()
                 if NO_ID in ids:
                     raise ValueError(f"{NO_ID} can't be an id")
